@@ -47,38 +47,50 @@ def ranked_in_groups(
     """Add one exact ``row_number`` per entry of ``rankings``.
 
     Every ranking orders a group by its own low-cardinality columns (name, ``asc``
-    or ``desc``) and then by the shared ``tie_order``. A plain window would sort a whole group in
-    one task. Here rows are spread over cells (group, ranking columns, range of the
-    tie order); a row's rank is the number of rows in earlier cells plus its place
-    in its own cell. Cell counts form a small table whatever the number of rows.
+    or ``desc``) and then by the shared ``tie_order``. A plain window would sort a
+    whole group in one task. Here rows are spread over cells (group, columns common
+    to all rankings, range of the tie order); a row's rank is the number of rows in
+    earlier cells plus its place in its own cell. The cell counts are aggregated
+    before they are shuffled, and all rankings share one shuffle of the rows.
     """
     bucket = range_bucket(tie_order, split_points(rows, tie_order, buckets))
     rows = rows.withColumn("_bucket", bucket)
-    for name, leading in rankings.items():
-        columns = [column for column, _ in leading]
-        cell = [*group, *columns, "_bucket"]
-        counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
-        cell_order = [
+    leading = {name: [column for column, _ in order] for name, order in rankings.items()}
+    finest = list(dict.fromkeys(column for columns in leading.values() for column in columns))
+    common = [column for column in finest if all(column in c for c in leading.values())]
+    cell = [*group, *finest, "_bucket"]
+
+    def rows_before(name):
+        order = [
             F.col(column).desc() if direction == "desc" else F.col(column).asc()
-            for column, direction in leading
+            for column, direction in rankings[name]
         ]
-        before = (
+        up_to_here = (
             Window.partitionBy(*group)
-            .orderBy(*cell_order, "_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        offsets = counts.select(
-            *[F.col(column).alias(f"_{column}") for column in cell],
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
-        )
-        place = F.row_number().over(Window.partitionBy(*cell).orderBy(*tie_order))
-        same_cell = reduce(
-            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cell]
-        )
-        rows = (
-            rows.withColumn("_place", place)
-            .join(offsets, same_cell, "left")
-            .withColumn(name, (F.col("_offset") + F.col("_place")).cast("int"))
-            .drop("_place", "_offset", *[f"_{column}" for column in cell])
+            .orderBy(*order, "_bucket")
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
         )
-    return rows.drop("_bucket")
+        here = Window.partitionBy(*group, *leading[name], "_bucket")
+        return F.sum("_rows").over(up_to_here) - F.sum("_rows").over(here)
+
+    counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = counts.select(
+        *[F.col(column).alias(f"_{column}") for column in cell],
+        *[rows_before(name).alias(f"_before_{name}") for name in rankings],
+    )
+
+    def place(name):
+        in_cell = Window.partitionBy(*group, *leading[name], "_bucket").orderBy(*tie_order)
+        return F.row_number().over(in_cell)
+
+    placed = rows.repartition(*group, *common, "_bucket").withColumns(
+        {f"_place_{name}": place(name) for name in rankings}
+    )
+    same_cell = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cell])
+    ranks = {
+        name: (F.col(f"_before_{name}") + F.col(f"_place_{name}")).cast("int") for name in rankings
+    }
+    return placed.join(offsets, same_cell, "left").select(
+        *[column for column in rows.columns if column != "_bucket"],
+        *[rank.alias(name) for name, rank in ranks.items()],
+    )
