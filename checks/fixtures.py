@@ -11,8 +11,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rostra.sources.tables import spread
+
 GIVEN = ("lineitem", "orders", "customer", "supplier", "part", "documents", "labels", "events")
 
+# Tables whose rows are costly to work on.
+TEXTS = ("documents", "events")
+
 # Month names as they are written into rendered dates.
 FRENCH = "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
 REPUBLICAN = (
@@ -375,33 +380,42 @@ class Fixtures:
         if name not in self._built:
             if name in GIVEN:
                 frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                if name in TEXTS:
+                    frame = spread(frame)
             else:
                 text = _SHA.sub(r"sha2(\1, 256)", DEFINITIONS[name])
                 needed = {n: getattr(self, n) for n in _names_in(text)}
                 frame = self.spark.sql(text, **needed)
+                if name == "d_texts":
+                    frame = spread(frame)
             self._built[name] = frame
         return self._built[name]
 
 
-def with_tables(query: str) -> str:
-    """DuckDB text of a query: every ``{name}`` it uses becomes a common table expression."""
+def with_tables(query: str, extra: dict[str, str] | None = None) -> str:
+    """DuckDB text of a query: every ``{name}`` it uses becomes a common table expression.
+
+    ``extra`` holds further definitions that only exist on the DuckDB side; in them
+    and in the query braces need no doubling.
+    """
+    extra = extra or {}
+    known = [*GIVEN, *DEFINITIONS, *extra]
+    reference = re.compile(r"\{(" + "|".join(known) + r")\}")
     ordered: dict[str, str] = {}
 
     def add(name: str) -> None:
         if name in GIVEN or name in ordered:
             return
-        for other in _names_in(DEFINITIONS[name]):
+        text = extra.get(name) or DEFINITIONS[name]
+        for other in dict.fromkeys(reference.findall(text)):
             add(other)
-        text = _SHA.sub(r"sha256(\1)", DEFINITIONS[name])
-        ordered[name] = text.format(**{n: n for n in _names_in(text)})
+        text = reference.sub(r"\1", _SHA.sub(r"sha256(\1)", text))
+        if name not in extra:
+            text = text.replace("{{", "{").replace("}}", "}")
+        ordered[name] = text
 
-    for name in _names_in(query):
+    for name in dict.fromkeys(reference.findall(query)):
         add(name)
-    body = _SHA.sub(r"sha256(\1)", query)
-    body = body.format(**{n: n for n in _names_in(body)})
-    if not ordered:
-        return body
+    body = reference.sub(r"\1", _SHA.sub(r"sha256(\1)", query))
     tables = ",\n".join(f"{name} AS ({text})" for name, text in ordered.items())
-    if body.lstrip().upper().startswith("WITH "):
-        return f"WITH {tables},\n{body.lstrip()[5:]}"
-    return f"WITH {tables}\n{body}"
+    return f"WITH {tables}\n{body}" if tables else body

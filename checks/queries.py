@@ -128,7 +128,7 @@ def metadata_parse(fx):
 def date_from_text_(fx):
     written = fx.d_texts.select(
         "document_id",
-        date_from_text(F.col("title"), "title", "medium").alias("date"),
+        date_from_text("title", "title", "medium").alias("date"),
     )
     return written.select("document_id", "date.*")
 
@@ -138,7 +138,7 @@ QUERIES["date_from_text"] = QUERIES.pop("date_from_text_")
 
 @query
 def date_best_of_sources(fx):
-    best = best_publication_date(F.col("date_raw"), F.col("title"), F.col("front_matter"))
+    best = best_publication_date("date_raw", "title", "front_matter")
     return fx.d_texts.select("document_id", best.alias("date")).select("document_id", "date.*")
 
 
@@ -431,31 +431,28 @@ def stance_score(fx):
     )
 
 
-def _reply_with_length(prompts: list[str]) -> list[str]:
+@query
+def model_score_column(fx):
     """A stand-in for a model: answers in JSON from the prompt alone."""
-    return [
-        f'{{"stance_label": "{"positive" if len(p) % 2 else "negative"}", "stance_intensity": "weak"}}'
-        for p in prompts
-    ]
 
+    def scorer(prompts):
+        labels = ["positive" if len(prompt) % 2 else "negative" for prompt in prompts]
+        return [f'{{"stance_label": "{la}", "stance_intensity": "weak"}}' for la in labels]
 
-@query
-def model_score_column(fx):
     prompts = fx.m_contexts.select("mention_id", F.col("context_window").alias("prompt"))
-    replies = stance.normalize_replies(stance.score_prompts(prompts, _reply_with_length))
+    replies = stance.normalize_replies(stance.score_prompts(prompts, scorer))
     return replies.select("mention_id", "stance_label", "stance_intensity")
 
 
-def _extract_length(inputs: list[str]) -> list[str]:
-    return [f'{{"response": {{"publication_year": {{"value": {len(i)}}}}}}}' for i in inputs]
-
-
 @query
 def model_extract_column(fx):
+    def extractor(inputs):
+        return [f'{{"response": {{"publication_year": {{"value": {len(i)}}}}}}}' for i in inputs]
+
     asked = fx.d_texts.withColumnsRenamed(
         {"date_raw": "publication_date_raw", "front_matter": "ocr_front_matter"}
     )
-    replies = dates.extract_with_model(asked, _extract_length)
+    replies = dates.extract_with_model(asked, extractor)
     return dates.model_date_candidates(replies).select(
         "document_id", "candidate_publication_year", "candidate_date_precision"
     )

@@ -1,19 +1,21 @@
-"""Publication dates from free text, as native column expressions.
+"""Publication dates from free text, as native SQL expressions.
 
 Understands ISO dates, French day/month/year dates with old spellings, and
 French Republican dates, which are converted to Gregorian ones.
+
+The expressions are assembled as SQL text and parsed once; built call by call they
+would need thousands of round trips to the JVM. ``text`` arguments are therefore
+column names or SQL expressions.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostra.functions.common import let
-from rostra.functions.text import collapse_whitespace
+from rostra.functions.text import WHITESPACE
 
 # Month spellings, matched after lower-casing and accent removal.
 FRENCH_MONTHS = {
@@ -64,15 +66,40 @@ NOTE_MONTH_ONLY = (
 NOTE_MORE_PRECISE = "More precise date matched metadata year."
 FRONT_MATTER_CHARACTERS = 2000
 
+# How useful a precision is for dating, and which source is trusted more.
+PRECISION_RANKS = {"day": 3, "month": 2, "year": 1, "revolutionary_month": 1}
+SOURCE_RANKS = {"metadata_date": 3, "title": 2, "ocr_front_matter": 1}
+
 YEAR = r"(?:1[5-9][0-9]{2}|20[0-9]{2})"
 DAY = r"[0-9]{1,2}(?:er)?"
 NUMERAL = r"(?:[ivxlcdm]+|[0-9]+)"
-_FRENCH = "(?:" + "|".join(FRENCH_MONTHS) + ")"
-_REPUBLICAN = "(?:" + "|".join(REPUBLICAN_MONTHS) + ")"
+FRENCH = "(?:" + "|".join(FRENCH_MONTHS) + ")"
+REPUBLICAN = "(?:" + "|".join(REPUBLICAN_MONTHS) + ")"
+
+FIELDS = {
+    "publication_year": "int",
+    "publication_month": "int",
+    "publication_day": "int",
+    "publication_date": "date",
+    "date_precision": "string",
+    "date_source": "string",
+    "date_calendar": "string",
+    "date_parse_confidence": "string",
+    "date_parse_notes": "string",
+}
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL that evaluates ``value`` once and calls it ``name`` inside ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
 
+def _map(table: dict) -> str:
+    return "map(" + ", ".join(f"{key!r}, {value!r}" for key, value in table.items()) + ")"
 
-def _whole(pattern: str) -> str:
-    return rf"(?U)\b{pattern}\b"
+
+def _lookup(table: dict, key: str) -> str:
+    return f"try_element_at({_map(table)}, {key})"
 
 
 def _folding_table() -> tuple[str, str]:
@@ -81,257 +108,191 @@ def _folding_table() -> tuple[str, str]:
     Derived from the Unicode database instead of being spelled out.
     """
     ranges = [(0x80, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2190), (0xFF01, 0xFF5F)]
-    source, target = [",", ".", "'", "…"], [" ", " ", " ", " "]
+    source, target = "", ""
     for low, high in ranges:
-        for code in range(low, high):
-            letter = chr(code)
+        for letter in map(chr, range(low, high)):
             base = [
                 part
                 for part in unicodedata.normalize("NFKD", letter)
                 if not unicodedata.combining(part)
             ]
-            if letter != "…" and len(base) == 1 and base[0] != letter:
-                source.append(letter)
-                target.append(base[0])
-    return "".join(source), "".join(target)
+            if len(base) == 1 and base[0] != letter and base[0] not in "'\"\\":
+                source, target = source + letter, target + base[0]
+    return source, target
 
 
-_FOLD_FROM, _FOLD_TO = _folding_table()
-_LIGATURES = {chr(code): unicodedata.normalize("NFKD", chr(code)) for code in range(0xFB00, 0xFB07)}
+def _unligatured(text: str) -> str:
+    for letter in map(chr, range(0xFB00, 0xFB07)):
+        text = f"replace({text}, '{letter}', '{unicodedata.normalize('NFKD', letter)}')"
+    return text
 
 
-def normalize_date_text(value: Column) -> Column:
-    """Lower case, no accents, punctuation to spaces, single-spaced; '' for NULL."""
-    text = F.lower(F.coalesce(value, F.lit("")))
-    unligatured = text
-    for ligature, letters in _LIGATURES.items():
-        unligatured = F.replace(unligatured, F.lit(ligature), F.lit(letters))
-    text = F.when(text.rlike("[ﬀ-ﬆ]"), unligatured).otherwise(text)
-    folded = F.translate(text, _FOLD_FROM, _FOLD_TO)
-    return collapse_whitespace(F.regexp_replace(folded, r"\p{Mn}+", ""))
+def normalized_text(text: str) -> str:
+    """SQL: lower case, no accents, punctuation to spaces, single-spaced; '' for NULL."""
+    source, target = _folding_table()
+    unaccented = (
+        f"regexp_replace(translate(CASE WHEN t RLIKE '[ﬀ-ﬆ]' THEN {_unligatured('t')} "
+        rf"ELSE t END, '{source}', '{target}'), r'\p{{Mn}}+', '')"
+    )
+    spaced = rf"regexp_replace({unaccented}, r'(?:[,.\x27…]|{WHITESPACE})+', ' ')"
+    return _let("t", f"lower(coalesce({text}, ''))", f"trim({spaced})")
 
 
-def _lookup(table: dict[str, int] | dict[int, str], key: Column) -> Column:
-    pairs = [F.lit(item) for entry in table.items() for item in entry]
-    return F.try_element_at(F.create_map(*pairs), key)
+def date_struct(**values: str) -> str:
+    """SQL struct of the date fields; what is not given is unknown."""
+    defaults = {
+        "date_precision": "'unknown'",
+        "date_source": "'none'",
+        "date_calendar": "'unknown'",
+        "date_parse_confidence": "'low'",
+    }
+    fields = {name: values.get(name, defaults.get(name, "NULL")) for name in FIELDS}
+    return "named_struct(" + ", ".join(
+        f"'{name}', cast({value} AS {FIELDS[name]})" for name, value in fields.items()
+    ) + ")"
 
 
-def roman_value(numeral: Column) -> Column:
+def roman_value(numeral: str) -> str:
     """Subtractive reading: a digit smaller than its right neighbour is taken off."""
-    digits = F.transform(
-        F.regexp_extract_all(numeral, F.lit("(.)"), 1),
-        lambda digit: _lookup(ROMAN_NUMERALS, digit),
-    )
-    return let(
-        digits,
-        lambda values: F.aggregate(
-            F.transform(
-                values,
-                lambda v, i: F.when(v < F.try_element_at(values, i + 2), -v).otherwise(v),
-            ),
-            F.lit(0),
-            lambda total, v: total + v,
-        ),
-    )
+    digits = f"transform(regexp_extract_all({numeral}, '(.)', 1), c -> {_lookup(ROMAN_NUMERALS, 'c')})"
+    signed = "transform(v, (x, i) -> CASE WHEN x < try_element_at(v, i + 2) THEN -x ELSE x END)"
+    return _let("v", digits, f"aggregate({signed}, 0, (total, x) -> total + x)")
 
 
-def republican_year(numeral: Column) -> Column:
-    return F.when(numeral.rlike("^[0-9]+$"), numeral.try_cast("int")).otherwise(
-        roman_value(numeral)
+def republican_year(numeral: str) -> str:
+    return (
+        f"CASE WHEN {numeral} RLIKE '^[0-9]+$' THEN try_cast({numeral} AS int) "
+        f"ELSE {roman_value(numeral)} END"
     )
 
 
-def republican_to_gregorian(year: Column, month: Column, day: Column) -> Column:
+def republican_to_gregorian(year: str, month: str, day: str) -> str:
     """Gregorian date, NULL outside years I-XIV. Months have 30 days each."""
-    start = _lookup(REPUBLICAN_YEAR_STARTS, year).cast("date")
-    return F.date_add(start, (month - 1) * 30 + day - 1)
-
-
-def date_struct(
-    year: Column | None = None,
-    month: Column | None = None,
-    day: Column | None = None,
-    date: Column | None = None,
-    precision: Column | str = "unknown",
-    source: str = "none",
-    calendar: str = "unknown",
-    confidence: str = "low",
-    notes: Column | str | None = None,
-) -> Column:
-    def column(value, kind):
-        return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
-
-    return F.struct(
-        column(year, "int").alias("publication_year"),
-        column(month, "int").alias("publication_month"),
-        column(day, "int").alias("publication_day"),
-        column(date, "date").alias("publication_date"),
-        column(precision, "string").alias("date_precision"),
-        column(source, "string").alias("date_source"),
-        column(calendar, "string").alias("date_calendar"),
-        column(confidence, "string").alias("date_parse_confidence"),
-        column(notes, "string").alias("date_parse_notes"),
-    )
+    start = f"cast({_lookup(REPUBLICAN_YEAR_STARTS, year)} AS date)"
+    return f"date_add({start}, ({month} - 1) * 30 + {day} - 1)"
 
 
-def _gregorian(
-    year: Column, month: Column, day: Column, source: str, confidence: str
-) -> Column:
+def _gregorian(year: str, month: str, day: str, found: dict[str, str]) -> str:
     """Keep as much of a Gregorian date as is valid; NULL when the day cannot be a day."""
-    month_ok = month.between(1, 12)
-    full = F.format_string("%04d-%02d-%02d", year, month, day).try_cast("date")
-    is_date = full.isNotNull()
-    return F.when(
-        day.between(1, 31),
-        date_struct(
-            year,
-            F.when(month_ok, month),
-            F.when(is_date, day),
-            full,
-            F.when(is_date, "day").when(month_ok, "month").otherwise("year"),
-            source,
-            "gregorian",
-            confidence,
-            F.when(~month_ok, NOTE_BAD_MONTH).when(~is_date, NOTE_BAD_DAY),
-        ),
+    full = "try_cast(format_string('%04d-%02d-%02d', g.y, g.m, g.d) AS date)"
+    result = date_struct(
+        publication_year="g.y",
+        publication_month="CASE WHEN g.m BETWEEN 1 AND 12 THEN g.m END",
+        publication_day="CASE WHEN f IS NOT NULL THEN g.d END",
+        publication_date="f",
+        date_precision="CASE WHEN f IS NOT NULL THEN 'day' WHEN g.m BETWEEN 1 AND 12 THEN 'month' "
+        "ELSE 'year' END",
+        date_calendar="'gregorian'",
+        date_parse_notes=f"CASE WHEN g.m NOT BETWEEN 1 AND 12 THEN '{NOTE_BAD_MONTH}' "
+        f"WHEN f IS NULL THEN '{NOTE_BAD_DAY}' END",
+        **found,
     )
+    parts = f"named_struct('y', {year}, 'm', {month}, 'd', {day})"
+    return _let("g", parts, f"CASE WHEN g.d BETWEEN 1 AND 31 THEN {_let('f', full, result)} END")
 
 
-def _rule(text: Column, pattern: str, separator: str, build: Callable) -> Column:
-    """Result built from the words of the first match, NULL without a match."""
-    found = F.regexp_extract(text, _whole(pattern), 0)
-    return let(
-        F.split(found, separator),
-        lambda words: F.when(F.element_at(words, 1) != "", build(words)),
-    )
+def _rule(pattern: str, separator: str, result: str) -> str:
+    """Result built from the words ``w`` of the first match, NULL without a match."""
+    words = rf"split(regexp_extract(n, r'(?U)\b{pattern}\b', 0), '{separator}')"
+    return _let("w", words, f"CASE WHEN w[0] <> '' THEN {result} END")
 
 
-def _day_number(word: Column) -> Column:
-    return F.replace(word, F.lit("er"), F.lit("")).try_cast("int")
+def _number(position: int) -> str:
+    return f"try_cast(w[{position}] AS int)"
 
 
-def date_from_text(text: Column, source: str, confidence: str) -> Column:
-    """Date found in one text, as a struct; the first rule that yields a date wins.
+_DAY_NUMBER = "try_cast(replace(w[0], 'er', '') AS int)"
+
+
+def date_from_text_sql(text: str, source: str, confidence: str) -> str:
+    """SQL struct with the date found in one text; the first rule that yields one wins.
 
     ``coalesce`` stops at the first hit, so later patterns are not even tried.
     """
-
-    def number(words, position):
-        return words.getItem(position).try_cast("int")
-
-    def iso(words):
-        return _gregorian(
-            number(words, 0), number(words, 1), number(words, 2), source, confidence
-        )
-
-    def republican_day(words):
-        day = _day_number(words.getItem(0))
-        month = _lookup(REPUBLICAN_MONTHS, words.getItem(1))
-        converted = republican_to_gregorian(republican_year(words.getItem(3)), month, day)
-        return let(
-            F.when(day.between(1, 30), converted),
-            lambda date: F.when(
-                date.isNotNull(),
-                date_struct(
-                    F.year(date), F.month(date), F.dayofmonth(date), date, "day",
-                    source, "french_republican", confidence, NOTE_CONVERTED,
-                ),
-            ),
-        )
-
-    def french_day(words):
-        return _gregorian(
-            number(words, 2),
-            _lookup(FRENCH_MONTHS, words.getItem(1)),
-            _day_number(words.getItem(0)),
-            source,
-            confidence,
-        )
-
-    def french_month(words):
-        return date_struct(
-            number(words, 1), _lookup(FRENCH_MONTHS, words.getItem(0)),
-            precision="month", source=source, calendar="gregorian", confidence=confidence,
-        )
-
-    def republican_month(words):
-        return date_struct(
-            month=_lookup(REPUBLICAN_MONTHS, words.getItem(0)),
-            precision="revolutionary_month", source=source,
-            calendar="french_republican", notes=NOTE_MONTH_ONLY,
-        )
-
-    def year_only(words):
-        return date_struct(
-            number(words, 0),
-            precision="year", source=source, calendar="gregorian", confidence=confidence,
-        )
-
-    def rules(t):
-        return F.when(
-            t != "",
-            F.coalesce(
-                _rule(t, rf"{YEAR}[-/][0-9]{{1,2}}[-/][0-9]{{1,2}}", "[-/]", iso),
-                _rule(t, rf"{DAY} {_REPUBLICAN} an {NUMERAL}", " ", republican_day),
-                _rule(t, rf"{DAY} {_FRENCH} {YEAR}", " ", french_day),
-                _rule(t, rf"{_FRENCH} {YEAR}", " ", french_month),
-                _rule(t, rf"{_REPUBLICAN} an {NUMERAL}", " ", republican_month),
-                _rule(t, YEAR, " ", year_only),
-            ),
-        )
-
-    return F.coalesce(let(normalize_date_text(text), rules), date_struct())
+    found = {"date_source": f"'{source}'", "date_parse_confidence": f"'{confidence}'"}
+    republican_day = republican_to_gregorian(
+        republican_year("w[3]"), _lookup(REPUBLICAN_MONTHS, "w[1]"), _DAY_NUMBER
+    )
+    converted = date_struct(
+        publication_year="year(r)",
+        publication_month="month(r)",
+        publication_day="day(r)",
+        publication_date="r",
+        date_precision="'day'",
+        date_calendar="'french_republican'",
+        date_parse_notes=f"'{NOTE_CONVERTED}'",
+        **found,
+    )
+    month = date_struct(
+        publication_year=_number(1),
+        publication_month=_lookup(FRENCH_MONTHS, "w[0]"),
+        date_precision="'month'",
+        date_calendar="'gregorian'",
+        **found,
+    )
+    republican_month = date_struct(
+        publication_month=_lookup(REPUBLICAN_MONTHS, "w[0]"),
+        date_precision="'revolutionary_month'",
+        date_source=f"'{source}'",
+        date_calendar="'french_republican'",
+        date_parse_notes=f"'{NOTE_MONTH_ONLY}'",
+    )
+    year = date_struct(
+        publication_year=_number(0), date_precision="'year'", date_calendar="'gregorian'", **found
+    )
+    french_day = _gregorian(_number(2), _lookup(FRENCH_MONTHS, "w[1]"), _DAY_NUMBER, found)
+    rules = [
+        _rule(
+            rf"{YEAR}[-/][0-9]{{1,2}}[-/][0-9]{{1,2}}",
+            "[-/]",
+            _gregorian(_number(0), _number(1), _number(2), found),
+        ),
+        _rule(
+            f"{DAY} {REPUBLICAN} an {NUMERAL}",
+            " ",
+            f"CASE WHEN {_DAY_NUMBER} BETWEEN 1 AND 30 THEN "
+            + _let("r", republican_day, f"CASE WHEN r IS NOT NULL THEN {converted} END")
+            + " END",
+        ),
+        _rule(f"{DAY} {FRENCH} {YEAR}", " ", french_day),
+        _rule(f"{FRENCH} {YEAR}", " ", month),
+        _rule(f"{REPUBLICAN} an {NUMERAL}", " ", republican_month),
+        _rule(YEAR, " ", year),
+    ]
+    first = _let("n", normalized_text(text), f"CASE WHEN n <> '' THEN coalesce({', '.join(rules)}) END")
+    return f"coalesce({first}, {date_struct()})"
 
 
-# How useful a precision is for dating, and which source is trusted more.
-PRECISION_RANKS = {"day": 3, "month": 2, "year": 1, "revolutionary_month": 1}
-SOURCE_RANKS = {"metadata_date": 3, "title": 2, "ocr_front_matter": 1}
+def date_from_text(text: str, source: str, confidence: str) -> Column:
+    return F.expr(date_from_text_sql(text, source, confidence))
 
 
-def best_publication_date(
-    date_raw: Column, title: Column, front_matter: Column
-) -> Column:
+def best_publication_date(date_raw: str, title: str, front_matter: str) -> Column:
     """Most precise date of the three sources that does not contradict the metadata year."""
-    parsed = F.array(
-        date_from_text(date_raw, "metadata_date", "high"),
-        date_from_text(title, "title", "medium"),
-        date_from_text(front_matter, "ocr_front_matter", "low"),
+    sources = [
+        date_from_text_sql(date_raw, "metadata_date", "high"),
+        date_from_text_sql(title, "title", "medium"),
+        date_from_text_sql(front_matter, "ocr_front_matter", "low"),
+    ]
+    agreeing = (
+        "filter(s, x -> x.date_precision <> 'unknown' "
+        "AND NOT coalesce(x.publication_year <> s[0].publication_year, false))"
     )
-
-    def choose(candidates):
-        metadata_year = candidates.getItem(0).getField("publication_year")
-
-        def agrees(c):
-            year = c.getField("publication_year")
-            conflict = (year != metadata_year)
-            return (c.getField("date_precision") != "unknown") & ~F.coalesce(
-                conflict, F.lit(False)
-            )
-
-        ranked = F.transform(
-            F.filter(candidates, agrees),
-            lambda c: F.struct(
-                _lookup(PRECISION_RANKS, c.getField("date_precision")).alias("precision"),
-                _lookup(SOURCE_RANKS, c.getField("date_source")).alias("source"),
-                c.alias("date"),
-            ),
-        )
-        # array_max of an empty array is NULL, which falls back to "unknown" below.
-        best = F.array_max(ranked).getField("date")
-
-        def annotate(d):
-            confirmed = (d.getField("date_source") != "metadata_date") & (
-                d.getField("publication_year") == metadata_year
-            )
-            notes = F.when(
-                confirmed,
-                F.concat_ws(" ", d.getField("date_parse_notes"), F.lit(NOTE_MORE_PRECISE)),
-            ).otherwise(d.getField("date_parse_notes"))
-            return d.withField("date_parse_notes", notes)
-
-        return let(best, annotate)
-
-    return F.coalesce(let(parsed, choose), date_struct())
+    ranked = (
+        f"transform({agreeing}, x -> named_struct("
+        f"'precision', {_lookup(PRECISION_RANKS, 'x.date_precision')}, "
+        f"'source', {_lookup(SOURCE_RANKS, 'x.date_source')}, 'date', x))"
+    )
+    confirmed = "b.date_source <> 'metadata_date' AND b.publication_year = s[0].publication_year"
+    kept = {name: f"b.{name}" for name in FIELDS}
+    kept["date_parse_notes"] = (
+        f"CASE WHEN {confirmed} THEN concat_ws(' ', b.date_parse_notes, '{NOTE_MORE_PRECISE}') "
+        "ELSE b.date_parse_notes END"
+    )
+    # array_max of an empty array is NULL, which falls back to "unknown".
+    best = _let("b", f"array_max({ranked}).date", f"CASE WHEN b IS NOT NULL THEN {date_struct(**kept)} END")
+    chosen = _let("s", f"array({', '.join(sources)})", best)
+    return F.expr(f"coalesce({chosen}, {date_struct()})")
 
 
 def year_in_text(text: Column) -> Column:

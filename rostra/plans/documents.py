@@ -28,7 +28,7 @@ def parse_metadata(bronze_metadata: DataFrame) -> DataFrame:
     return bronze_metadata.select(
         "document_id",
         F.col("file_path").alias("metadata_file_path"),
-        parse_metadata_xml(F.col("raw_metadata_xml")).alias("parsed"),
+        parse_metadata_xml("raw_metadata_xml").alias("parsed"),
     ).select("document_id", "metadata_file_path", "parsed.*")
 
 
@@ -45,9 +45,7 @@ def parsed_documents(bronze_metadata: DataFrame, bronze_ocr_text: DataFrame) ->
         .distinct()
         .withColumn("has_ocr_text", F.lit(True))
     )
-    date = best_publication_date(
-        F.col("publication_date_raw"), F.col("title"), F.col("ocr_front_matter")
-    )
+    date = best_publication_date("publication_date_raw", "title", "ocr_front_matter")
     dated = (
         parse_metadata(bronze_metadata)
         .join(front_matter, "document_id", "left")

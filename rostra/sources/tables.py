@@ -32,6 +32,16 @@ def write_table(
     return written
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Scan split over all cores when its files give fewer partitions than that.
+
+    For work that is heavy per row, such as searching texts. A large table already
+    has more partitions than cores and is returned as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 class Tables:
     """Named Parquet tables under one root, each a sequence of published versions.
 
