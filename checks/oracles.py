@@ -608,6 +608,18 @@ def when(condition: str, name: str) -> str:
     return f"count(*) FILTER ({condition}) AS {name}"
 
 
+def rounded(value: str) -> str:
+    """Nine decimals without a negative zero."""
+    return f"CASE WHEN abs({value}) < 5e-10 THEN 0.0 ELSE round({value}, 9) END"
+
+
+def mean(absolute: bool = False) -> str:
+    """Average score of the included rows; summed as decimals, so order plays no part."""
+    score = "abs(stance_score)" if absolute else "stance_score"
+    total = f"cast(sum(cast({score} AS decimal(8, 6))) FILTER (inc) AS double)"
+    return f"{total} / nullif(count(*) FILTER (inc), 0)"
+
+
 TABLES["o_rows"] = """
     SELECT m.* EXCLUDE (publication_year, publication_month, publication_day, publication_date,
             date_precision, date_calendar),
@@ -686,18 +698,17 @@ ORACLES["gold_mentions_by_period"] = "SELECT * FROM {o_gold_mentions}"
 TABLES["o_period_mentions"] = f"""
     SELECT {_PERIOD}, {_COUNTS}, count(DISTINCT document_id) AS document_count,
         count(DISTINCT document_id) FILTER (inc) AS included_document_count,
-        round(avg(stance_score) FILTER (inc), 9) AS avg_stance_score_mention_weighted,
-        round(avg(abs(stance_score)) FILTER (inc), 9) AS avg_abs_stance_score_mention_weighted,
+        {rounded(mean())} AS avg_stance_score_mention_weighted,
+        {rounded(mean(True))} AS avg_abs_stance_score_mention_weighted,
         {", ".join(when(f"date_precision = '{p}'", f"{p}_precision_count")
                    for p in ("day", "month", "year"))}, {_SPAN}
     FROM {{o_rows}} GROUP BY {_PERIOD}"""
 TABLES["o_period_documents"] = f"""
-    SELECT {_PERIOD}, round(avg(s), 9) AS avg_stance_score_document_weighted,
-        round(avg(a), 9) AS avg_abs_stance_score_document_weighted,
+    SELECT {_PERIOD}, {rounded('avg(s)')} AS avg_stance_score_document_weighted,
+        {rounded('avg(a)')} AS avg_abs_stance_score_document_weighted,
         {when("s > 0", "positive_document_count")}, {when("s < 0", "negative_document_count")},
         {when("s = 0", "neutral_document_count")}
-    FROM (SELECT {_PERIOD}, document_id, avg(stance_score) FILTER (inc) AS s,
-            avg(abs(stance_score)) FILTER (inc) AS a
+    FROM (SELECT {_PERIOD}, document_id, {mean()} AS s, {mean(True)} AS a
         FROM {{o_rows}} GROUP BY {_PERIOD}, document_id) GROUP BY {_PERIOD}"""
 
 
@@ -730,7 +741,7 @@ TABLES["o_by_document"] = f"""
             AND NOT coalesce(d.conflicts_with_metadata_year, false) AS is_analysis_ready
     FROM (SELECT document_id, figure_id, canonical_name, any_value(date_key) AS date_key,
             any_value(ocr_quality_flag) AS ocr_quality_flag, {_COUNTS},
-            avg(stance_score) FILTER (inc) AS avg_score, avg(abs(stance_score)) FILTER (inc) AS avg_abs,
+            {mean()} AS avg_score, {mean(True)} AS avg_abs,
             min(stance_score) FILTER (inc) AS min_stance_score,
             max(stance_score) FILTER (inc) AS max_stance_score
         FROM {{o_rows}} GROUP BY document_id, figure_id, canonical_name) g
@@ -760,8 +771,8 @@ def member_select(bridge: str, members: str, key: str, name: str) -> str:
         publication_year IS NOT NULL AND analysis_ready_document_count > 0 AS is_analysis_ready
     FROM (SELECT {keys}, count(DISTINCT document_id) AS document_count,
             {", ".join(f"cast(sum({c}) AS bigint) AS {c}" for c in _SUMMED)},
-            round(avg(avg_score) FILTER (is_analysis_ready), 9) AS avg_stance_score,
-            round(avg(avg_abs) FILTER (is_analysis_ready), 9) AS avg_abs_stance_score,
+            {rounded('avg(avg_score) FILTER (is_analysis_ready)')} AS avg_stance_score,
+            {rounded('avg(avg_abs) FILTER (is_analysis_ready)')} AS avg_abs_stance_score,
             {", ".join(when(f"is_analysis_ready AND document_stance_label = '{v}'", f"{v}_document_count")
                        for v in ("positive", "negative", "neutral"))},
             {when("is_analysis_ready", "analysis_ready_document_count")},

@@ -22,6 +22,20 @@ def is_included(confidence: Column, score: Column) -> Column:
     return confidence.isin("medium", "high") & score.isNotNull()
 
 
+# Scores lie between -1 and 1. Summed as decimals they add up to the same value in
+# whatever order the rows arrive, so a balanced document is exactly zero.
+EXACT_SCORE = "decimal(8,6)"
+
+
+def exact_sum(score: Column) -> Column:
+    return F.sum(score.cast(EXACT_SCORE))
+
+
+def mean(total: Column, count: Column) -> Column:
+    """Total over count as DOUBLE; NULL for a count of zero."""
+    return total.cast("double") / F.nullif(count, F.lit(0)).cast("double")
+
+
 def document_label(average_score: Column, included: Column) -> Column:
     return (
         F.when(average_score > 0, "positive")

@@ -11,8 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.functions.measures import count_when, document_label, is_included, safe_ratio
 from rostra.functions.common import vocabulary_rank
+from rostra.functions.measures import (
+    count_when,
+    document_label,
+    exact_sum,
+    is_included,
+    mean,
+    safe_ratio,
+)
 from rostra.operators.joins import join_bridge_expand, join_star_left
 from rostra.operators.ranking import ranked_in_groups
 from rostra.plans.documents import DATE_COLUMNS, UNKNOWN
@@ -114,7 +121,7 @@ def _mention_counts() -> list[Column]:
 
 def _score_sums() -> list[Column]:
     score = F.when(F.col("is_included"), F.col("stance_score"))
-    return [F.sum(score).alias("score_sum"), F.sum(F.abs(score)).alias("abs_score_sum")]
+    return [exact_sum(score).alias("score_sum"), exact_sum(F.abs(score)).alias("abs_score_sum")]
 
 
 def _date_span() -> list[Column]:
@@ -254,9 +261,8 @@ def figure_stance_by_period(
         )
         .withColumns(
             {
-                "average": F.col("score_sum") / F.nullif("included_mention_count", F.lit(0)),
-                "abs_average": F.col("abs_score_sum")
-                / F.nullif("included_mention_count", F.lit(0)),
+                "average": mean(F.col("score_sum"), F.col("included_mention_count")),
+                "abs_average": mean(F.col("abs_score_sum"), F.col("included_mention_count")),
             }
         )
     )
@@ -268,10 +274,10 @@ def figure_stance_by_period(
         count_when(F.col("document_id").isNotNull() & (F.col("included_mention_count") > 0)).alias(
             "included_document_count"
         ),
-        (F.sum("score_sum") / F.nullif(F.sum("included_mention_count"), F.lit(0))).alias(
+        mean(F.sum("score_sum"), F.sum("included_mention_count")).alias(
             "avg_stance_score_mention_weighted"
         ),
-        (F.sum("abs_score_sum") / F.nullif(F.sum("included_mention_count"), F.lit(0))).alias(
+        mean(F.sum("abs_score_sum"), F.sum("included_mention_count")).alias(
             "avg_abs_stance_score_mention_weighted"
         ),
         F.avg("average").alias("avg_stance_score_document_weighted"),
@@ -374,8 +380,7 @@ def figure_stance_by_document(
         F.max("date_key").alias("date_key"),
         F.max("ocr_quality_flag").alias("ocr_quality_flag"),
         *_mention_counts(),
-        F.avg(score).alias("avg_stance_score"),
-        F.avg(F.abs(score)).alias("avg_abs_stance_score"),
+        *_score_sums(),
         F.min(score).alias("min_stance_score"),
         F.max(score).alias("max_stance_score"),
     )
@@ -392,7 +397,13 @@ def figure_stance_by_document(
         (dates.select("date_key", "period_label", *DATE_COLUMNS), "date_key"),
     )
     conflict = F.coalesce("_conflict", F.lit(False))
-    return attached.withColumns(
+    averaged = attached.withColumns(
+        {
+            "avg_stance_score": mean(F.col("score_sum"), F.col("included_mention_count")),
+            "avg_abs_stance_score": mean(F.col("abs_score_sum"), F.col("included_mention_count")),
+        }
+    )
+    return averaged.withColumns(
         _shares(MENTION_SHARES)
         | {
             "has_metadata_year_conflict": conflict,
