@@ -16,7 +16,7 @@ from rostra.sources.tables import spread
 GIVEN = ("lineitem", "orders", "customer", "supplier", "part", "documents", "labels", "events")
 
 # Tables whose rows are costly to work on.
-TEXTS = ("documents", "events")
+COSTLY = ("documents", "events", "lineitem", "orders")
 
 # Month names as they are written into rendered dates.
 FRENCH = "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
@@ -147,11 +147,20 @@ DEFINITIONS = {
             CASE WHEN m.is_scored THEN m.target_relevance IN ('direct', 'indirect') END
                 AS is_direct_or_indirect_relevance
         FROM {m_scored} m LEFT JOIN {m_documents} d ON m.document_id = d.document_id""",
+    "m_labels": """
+        SELECT DISTINCT stance_label, stance_intensity, stance_confidence, target_relevance
+        FROM {m_lines} WHERE is_scored""",
     "m_categories": """
-        SELECT DISTINCT stance_category_id, stance_label, stance_intensity, stance_confidence,
-            target_relevance, 'deterministic_label_intensity_mapping' AS stance_score_method,
-            stance_score
-        FROM {m_scored} WHERE is_scored""",
+        SELECT <sha>concat_ws('|', stance_label, stance_intensity, stance_confidence,
+                target_relevance, 'deterministic_label_intensity_mapping')</sha> AS stance_category_id,
+            stance_label, stance_intensity, stance_confidence, target_relevance,
+            'deterministic_label_intensity_mapping' AS stance_score_method,
+            CASE WHEN stance_label = 'neutral_or_unclear' THEN cast(0.0 AS double)
+                ELSE (CASE stance_label WHEN 'negative' THEN cast(-1 AS double) ELSE cast(1 AS double) END)
+                    * (CASE stance_intensity WHEN 'weak' THEN cast(0.33 AS double)
+                        WHEN 'moderate' THEN cast(0.66 AS double) ELSE cast(1.0 AS double) END)
+                END AS stance_score
+        FROM {m_labels}""",
     "m_contexts": """
         SELECT mention_id, document_id,
             CASE WHEN discount = 10 AND l_linenumber = 1 THEN '' ELSE
@@ -380,14 +389,12 @@ class Fixtures:
         if name not in self._built:
             if name in GIVEN:
                 frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-                if name in TEXTS:
+                if name in COSTLY:
                     frame = spread(frame)
             else:
                 text = _SHA.sub(r"sha2(\1, 256)", DEFINITIONS[name])
                 needed = {n: getattr(self, n) for n in _names_in(text)}
                 frame = self.spark.sql(text, **needed)
-                if name == "d_texts":
-                    frame = spread(frame)
             self._built[name] = frame
         return self._built[name]
 

@@ -43,6 +43,7 @@ def ranked_in_groups(
     tie_order: list[str],
     rankings: dict[str, list[tuple[str, str]]],
     buckets: int = 32,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add one exact ``row_number`` per entry of ``rankings``.
 
@@ -52,8 +53,12 @@ def ranked_in_groups(
     to all rankings, range of the tie order); a row's rank is the number of rows in
     earlier cells plus its place in its own cell. The cell counts are aggregated
     before they are shuffled, and all rankings share one shuffle of the rows.
+
+    ``sample_from`` may name a cheaper table with the tie columns, from which the
+    ranges are chosen; the choice balances the cells and never changes a rank.
     """
-    bucket = range_bucket(tie_order, split_points(rows, tie_order, buckets))
+    sampled = rows if sample_from is None else sample_from
+    bucket = range_bucket(tie_order, split_points(sampled, tie_order, buckets))
     rows = rows.withColumn("_bucket", bucket)
     leading = {name: [column for column, _ in order] for name, order in rankings.items()}
     finest = list(dict.fromkeys(column for columns in leading.values() for column in columns))

@@ -618,6 +618,7 @@ def top_stance_contexts(
             "positive_rank_by_figure_period": [("stance_score", "desc"), *quality],
             "negative_rank_by_figure_period": [("stance_score", "asc"), *quality],
         },
+        sample_from=mentions,
     )
     # Wide attributes join the ranked rows, not the rows being ranked.
     attached = join_star_left(
