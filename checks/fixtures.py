@@ -379,6 +379,18 @@ def _names_in(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"(?<!\{)\{([a-z_]+)\}", text)))
 
 
+# Where derived tables are kept between queries, by data folder; empty means nowhere.
+STAGED: dict[str, str] = {}
+
+
+def stage(spark: SparkSession, folder: str, target: str) -> None:
+    """Write every derived table once, so that later queries read instead of derive."""
+    tables = Fixtures(spark, folder)
+    for name in DEFINITIONS:
+        getattr(tables, name).write.parquet(f"{target}/{name}")
+    STAGED[folder] = target
+
+
 class Fixtures:
     """The derived tables as DataFrames over one data folder."""
 
@@ -387,7 +399,9 @@ class Fixtures:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self._built:
-            if name in GIVEN:
+            if name in DEFINITIONS and self.folder in STAGED:
+                frame = self.spark.read.parquet(f"{STAGED[self.folder]}/{name}")
+            elif name in GIVEN:
                 frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
                 if name in COSTLY:
                     frame = spread(frame)

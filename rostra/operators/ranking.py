@@ -15,26 +15,36 @@ def first_per_group(rows: DataFrame, keys: list[str], order: list[Column]) -> Da
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def split_points(rows: DataFrame, order: list[str], buckets: int, sample: int = 4096) -> list[tuple]:
+# More ranges than this make the range expression unwieldy.
+MAX_BUCKETS = 512
+
+
+def split_points(rows: DataFrame, order: list[str], buckets: int) -> list[tuple]:
     """Up to ``buckets - 1`` points that cut the ordering of ``rows`` into even ranges.
 
-    The sample is the ``sample`` rows with the smallest hash of the ordering columns:
-    uniform over rows, the same on every run, and bounded in size wherever it travels.
+    The sample holds 16 rows per bucket, those with the smallest hash of the ordering
+    columns: uniform over rows, the same on every run, and bounded wherever it travels.
     """
-    picked = (
-        rows.select(*order).orderBy(F.xxhash64(*order), *order).limit(sample).orderBy(*order)
-    ).collect()
+    if buckets < 2:
+        return []
+    sample = rows.select(*order).orderBy(F.xxhash64(*order), *order).limit(16 * buckets)
+    picked = sorted(tuple(row) for row in sample.dropna().collect())
     cuts = [picked[len(picked) * i // buckets] for i in range(1, buckets)] if picked else []
-    return sorted({tuple(row) for row in cuts if None not in tuple(row)})
+    return sorted(set(cuts))
 
 
 def range_bucket(order: list[str], points: list[tuple]) -> Column:
-    """Number of split points at or before a row's position in the ordering."""
+    """Number of split points at or before a row's position, by binary search."""
     position = F.struct(*order)
-    bounds = [F.struct(*[F.lit(v).alias(c) for v, c in zip(p, order)]) for p in points]
-    if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*bounds), lambda bound: bound <= position))
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        bound = F.struct(*[F.lit(v).alias(c) for v, c in zip(points[middle], order)])
+        return F.when(position < bound, search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(points))
 
 
 def ranked_in_groups(
@@ -42,7 +52,7 @@ def ranked_in_groups(
     group: list[str],
     tie_order: list[str],
     rankings: dict[str, list[tuple[str, str]]],
-    buckets: int = 32,
+    buckets: int | None = None,
     sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add one exact ``row_number`` per entry of ``rankings``.
@@ -55,8 +65,12 @@ def ranked_in_groups(
     before they are shuffled, and all rankings share one shuffle of the rows.
 
     ``sample_from`` may name a cheaper table with the tie columns, from which the
-    ranges are chosen; the choice balances the cells and never changes a rank.
+    ranges are chosen; the choice balances the cells and never changes a rank. There
+    are as many ranges as shuffle partitions unless ``buckets`` says otherwise.
     """
+    if buckets is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(partitions, MAX_BUCKETS)
     sampled = rows if sample_from is None else sample_from
     bucket = range_bucket(tie_order, split_points(sampled, tie_order, buckets))
     rows = rows.withColumn("_bucket", bucket)
