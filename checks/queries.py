@@ -17,7 +17,7 @@ from rostra.operators.contexts import mention_contexts
 from rostra.operators.mentions import find_mentions
 from rostra.plans import dates, documents, figures, gold, mentions, quality, stance, texts
 from rostra.sources import files, lexicon, manifest
-from rostra.sources.tables import Tables, checkpoint_folder, with_missing_columns
+from rostra.sources.tables import Tables, checkpoint_folder, materialize, with_missing_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -378,7 +378,8 @@ def mention_contexts_joined(fx):
 
 @query
 def fact_mentions(fx):
-    parsed = _parsed(fx)
+    # Parsed once and stored, as the stage before this one would leave it.
+    parsed = materialize(_parsed(fx))
     clean = texts.clean_document_text(fx.t_ocr)
     lexicon_rows = fx.w_variants.select(
         "variant_id",
@@ -585,13 +586,17 @@ def gold_top_contexts(fx):
 
 
 def quality_tables(fx) -> dict[str, DataFrame]:
-    parsed = _parsed(fx)
+    """All tables of a corpus. What several of them are built from is stored first."""
+    parsed = materialize(_parsed(fx))
     clean = texts.clean_document_text(fx.t_ocr)
     creators, subjects = documents.creator_entries(parsed), documents.subject_entries(parsed)
-    by_document = _by_document(fx)
+    star = tuple(materialize(table) for table in (fx.m_mentions, fx.m_dates, fx.m_categories))
+    facts, star_dates, categories = star
+    by_document = materialize(
+        gold.figure_stance_by_document(facts, fx.m_documents, star_dates, categories)
+    )
     lexicon_rows = _lexicon(fx)
     selected = _selected(fx)
-    star = (fx.m_mentions, fx.m_dates, fx.m_categories)
     return {
         "bronze_metadata": fx.t_metadata,
         "bronze_ocr_text": fx.t_ocr,
@@ -608,15 +613,15 @@ def quality_tables(fx) -> dict[str, DataFrame]:
         "silver_bridge_document_subjects": documents.bridge_subjects(subjects),
         "silver_dim_figures": figures.dim_figures(lexicon_rows),
         "silver_dim_figure_variants": figures.dim_variants(lexicon_rows),
-        "silver_fact_figure_mentions": fx.m_mentions,
+        "silver_fact_figure_mentions": facts,
         "silver_dim_mention_contexts": fx.m_contexts,
-        "silver_dim_stance_categories": fx.m_categories,
+        "silver_dim_stance_categories": categories,
         "silver_stance_model_audit": fx.m_audit,
         "gold_figure_mentions_by_period": gold.figure_mentions_by_period(*star),
         "gold_figure_stance_by_period": gold.figure_stance_by_period(*star),
         "gold_figure_stance_by_document": by_document,
         "gold_top_stance_contexts": gold.top_stance_contexts(
-            fx.m_mentions, fx.m_documents, fx.m_dates, fx.m_contexts, fx.m_categories, fx.m_audit
+            facts, fx.m_documents, star_dates, fx.m_contexts, categories, fx.m_audit
         ),
         "gold_figure_stance_by_creator_period": gold.figure_stance_by_creator(
             by_document, fx.m_bridge_creators, fx.m_creators

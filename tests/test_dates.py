@@ -34,7 +34,7 @@ CASES = [
      (1792, None, None, "year", "title", "gregorian", "medium")),
     (None, "Adresse du 31 novembre 1788", None,
      (1788, 11, None, "month", "title", "gregorian", "medium")),
-    # Beyond the reference cases: bad month, ligature, long numerals, the whole calendar.
+    # Further cases: bad month, ligature, long numerals, the whole calendar.
     ("1788-13-02", None, None, (1788, None, None, "year", "metadata_date", "gregorian", "high")),
     (None, "11 ﬂoréal an xiv", None, (1806, 5, 1, "day", "title", "french_republican", "medium")),
     (None, "1er vendémiaire, an IIII", None,
