@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -26,10 +26,10 @@ from rostra.llm.common import BLOCK_CHARS, append_columns, blocks, schema_with
 # Fixed value: Unicode white space, as the pattern's \s understands it.
 _SPACE = "\t-\r \x85\xa0  -     　"
 # Bytes of new words in one query, and rounds before its finished words are set aside.
-_QUERY_BYTES = 400_000
+_QUERY_BYTES = 200_000
 _ROUNDS = 24
 # Units, and runs of ids, that a task remembers.
-_REMEMBERED = 600_000
+_REMEMBERED = 250_000
 # Words of more bytes contract all occurrences of their least pair in a round.
 _LONG = 48
 
@@ -115,6 +115,11 @@ def is_regular(ranks: dict[bytes, int]) -> bool:
     return True
 
 
+def _still(known: dict, met: Iterable) -> dict:
+    """What is known of those met now; the rest is forgotten."""
+    return {item: known[item] for item in met if item in known}
+
+
 def _portions(words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]]]:
     """Words in lists of about ``_QUERY_BYTES`` bytes."""
     part, size = [], 0
@@ -138,7 +143,7 @@ class ByteBpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.unit = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
         rows = np.array(merge_rows(ranks), np.int64).reshape(-1, 3)
         self._table("merges", pair=rows[:, 0] << 32 | rows[:, 1], id=rows[:, 2].astype(np.int32))
         self._table(
@@ -184,8 +189,7 @@ class ByteBpe:
     def _learn_words(self, met: list[str]) -> None:
         new = [w for w in dict.fromkeys(met) if w not in self.words]
         if len(self.words) + len(new) > _REMEMBERED:
-            self.words.clear()
-            new = list(dict.fromkeys(met))
+            self.words = _still(self.words, met)
         short, long = [], []
         for word in new:
             raw = word.encode()
@@ -212,8 +216,7 @@ class ByteBpe:
         met = {unit for units in cut for unit in units}
         new = met - self.units.keys()
         if len(self.units) + len(new) > _REMEMBERED:
-            self.units.clear()
-            new = met
+            self.units = _still(self.units, met)
         self._learn(list(new))
         known = self.units.__getitem__
         return [np.frombuffer(b"".join(map(known, units)), np.int32) for units in cut]
@@ -229,8 +232,7 @@ class ByteBpe:
         met = {run for runs in cut for run in runs}
         new = met - self.runs.keys()
         if len(self.runs) + len(new) > _REMEMBERED:
-            self.runs.clear()
-            new = met
+            self.runs = _still(self.runs, met)
         self._decode_runs([run for run in new if run])
         self.runs[b""] = b""
         known = self.runs.__getitem__

@@ -1,14 +1,14 @@
 """Line dedup by a tree of line templates.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading
-tokens. Tokens with a digit count as fields from the start. In a leaf, a token at a
-position is a constant of the line if at least two documents have it there and its
-support is at least half the median support of the line's tokens; all others are
-fields of variable content. Constants and fields make the line's template. Lines whose
-template occurs in two or more documents are dropped, except in the first of them.
-
-All decisions are aggregates over (leaf, position, token), so they depend neither on
-the order of the lines nor on the size of a leaf.
+tokens. Tokens with a digit are fields from the start. In a leaf, a line joins the
+template of another if most of its tokens are the same at the same places; where the
+lines of a template differ, it has a field of variable content. Lines whose template
+occurs in two or more documents are dropped, except in the first of them.
+
+No leaf is ever gathered. Lines that are similar enough to share a template agree in one
+of a few segments, so a line is compared with the most frequent line of the leaf that has
+the same segment, and templates are the components of what was similar.
 """
 
 from __future__ import annotations
@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.llm.common import SPACES
+from rostra.llm.components import connected_components
 from rostra.sources.tables import materialize
 
 # Leading tokens that choose a branch below the token count.
 DEPTH = 4
 # Lines with fewer tokens recur by chance and are left alone.
 LEAST_TOKENS = 4
-# Part of a template that must be constant.
+# Part of the tokens in which lines of one template agree.
 SIMILARITY = 0.8
 FIELD = "<*>"
 
@@ -37,21 +38,60 @@ def _normal(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, least_tokens: int, depth: int) -> DataFrame:
-    """row, at, leaf and a 128-bit digest of the tokens, for lines that are long enough."""
-    lines = docs.select("row", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    normal = lines.select("row", "at", _normal(F.col("line")).alias("normal"))
+    """id, content, at, leaf and a hash of the tokens, for lines that are long enough.
+
+    Lines are told apart by both hashes, 128 bits together.
+    """
+    lines = docs.select("id", "content", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    normal = lines.select("id", "content", "at", _normal(F.col("line")).alias("normal"))
     gaps = F.length("normal") - F.length(F.translate("normal", " ", ""))
     n_tokens = F.when(F.col("normal") == "", 0).otherwise(gaps + 1)
     return normal.where(n_tokens >= least_tokens).select(
-        "row",
+        "id",
+        "content",
         "at",
         F.xxhash64(n_tokens, F.substring_index("normal", " ", depth)).alias("leaf"),
-        F.struct(F.xxhash64("normal").alias("a"), F.xxhash64(F.lit(1), "normal").alias("b")).alias("same"),
+        F.xxhash64("normal").alias("same"),
     )
 
 
-def _in_two_documents(groups: DataFrame) -> DataFrame:
-    return groups.where(F.col("first") < F.col("last"))
+def _similar(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` of lines (``node``, ``leaf``, ``n``, ``tokens``) that share a template."""
+    size = F.size("tokens")
+    # So many tokens may differ; with one segment more than that, one has no difference.
+    allowed = F.floor(F.lit(1 - similarity) * size + 1e-9).cast("int")
+    tail = F.greatest(size - depth, F.lit(0))
+
+    def start(i: Column) -> Column:
+        return F.floor(i * F.col("tail") / (F.col("allowed") + 1)).cast("int")
+
+    segment = F.transform(
+        F.sequence(F.lit(0), F.col("allowed")),
+        lambda i: F.xxhash64(i, F.slice(F.col("tokens"), start(i) + depth + 1, start(i + 1) - start(i))),
+    )
+    segments = (
+        lines.withColumns({"allowed": allowed, "tail": tail})
+        .where("tail > 0")
+        .select("leaf", "node", "n", F.explode(segment).alias("segment"))
+    )
+    frequent = segments.groupBy("leaf", "segment").agg(
+        F.max(F.struct("n", "node")).alias("top"), F.min("node").alias("low"), F.max("node").alias("high")
+    )
+    pairs = (
+        segments.join(frequent.where("low < high"), ["leaf", "segment"])
+        .select(F.col("node").alias("a"), F.col("top.node").alias("b"))
+        .where("a <> b")
+        .distinct()
+    )
+    of_a = lines.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
+    of_b = lines.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
+    differing = F.size(F.filter(F.zip_with("a_tokens", "b_tokens", lambda x, y: x != y), lambda d: d))
+    return (
+        pairs.join(of_a, "a")
+        .join(of_b, "b")
+        .where(differing <= F.floor(F.lit(1 - similarity) * F.size("a_tokens") + 1e-9))
+        .select("a", "b")
+    )
 
 
 def recurring_lines(
@@ -59,75 +99,69 @@ def recurring_lines(
     depth: int = DEPTH,
     least_tokens: int = LEAST_TOKENS,
     similarity: float = SIMILARITY,
-) -> DataFrame:
-    """Lines to drop: ``row`` (of the given ``row``, ``text``) and ``at``, its number from 0,
-    with the ``template`` and the row that keeps it, ``first``."""
-    narrow = materialize(
-        _lines(docs, least_tokens, depth).select("row", "at", "leaf", "same")
-    )
-    span = [F.min("row").alias("first"), F.max("row").alias("last")]
-    leaves = _in_two_documents(narrow.groupBy("leaf").agg(*span)).select("leaf")
+) -> tuple[DataFrame, DataFrame]:
+    """Lines to drop and the templates they have.
+
+    ``docs`` has ``id`` (not null), ``content`` (a hash of the text) and ``text``. The first
+    table has ``id``, ``content`` and ``at``, the number of a line from 0; the second ``template``, ``first``
+    (the id that keeps it) and ``n``, the number of lines with it.
+    """
+    narrow = materialize(_lines(docs, least_tokens, depth))
+    leaves = narrow.groupBy("leaf").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     # Equal lines once, with one place where their text can be found.
     distinct = (
-        narrow.join(leaves, "leaf", "left_semi")
+        narrow.join(leaves.where("first < last").select("leaf"), "leaf", "left_semi")
         .groupBy("leaf", "same")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at")).alias("place"), F.max("row").alias("last"))
-        .select("leaf", "same", "n", "place.row", "place.at", F.col("place.row").alias("first"), "last")
-    )
-    places = distinct.groupBy("row").agg(
-        F.collect_list(F.struct("at", "leaf", "same", "n", "first", "last")).alias("lines")
-    )
-    # The texts of those places: only rows that have one are cut again.
-    texts = (
-        docs.select("row", F.split("text", "\n").alias("cut"))
-        .dropDuplicates(["row"])
-        .join(places, "row")
-        .select(
-            F.explode(
-                F.transform("lines", lambda p: F.struct(p.alias("of"), F.get("cut", p["at"]).alias("line")))
-            ).alias("line")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("id").alias("first"),
+            F.max("id").alias("last"),
+            F.min(F.struct("id", "content", "at")).alias("place"),
         )
+    )
+    lines = F.collect_list(F.struct("place.at", "leaf", "same", "n", "first", "last"))
+    places = distinct.groupBy("place.id", "place.content").agg(lines.alias("lines"))
+    # The texts of those places: only documents that have one are cut again, and the cut
+    # is a column of the join, so that it is made once.
+    cut = docs.select("id", "content", F.split("text", "\n").alias("cut"))
+    lines = F.transform("lines", lambda p: F.struct(p.alias("of"), F.get("cut", p["at"]).alias("line")))
+    distinct = materialize(
+        cut.join(places, ["id", "content"])
+        .select(F.explode(lines).alias("line"))
         .select("line.of.*", F.split(_normal(F.col("line.line")), " ").alias("tokens"))
+        .withColumn("node", F.xxhash64("leaf", "same"))
         .drop("at")
     )
-    distinct = materialize(texts)
-    token = distinct.select("leaf", "same", "n", "first", "last", F.posexplode("tokens").alias("at", "token"))
-    support = token.groupBy("leaf", "at", "token").agg(
-        F.sum("n").alias("support"), F.min("first").alias("first"), F.max("last").alias("last")
-    )
-    shared = F.when(F.col("first") < F.col("last"), F.col("support")).otherwise(1)
-    judged = (
-        token.drop("first", "last")
-        .join(support.select("leaf", "at", "token", shared.alias("support")), ["leaf", "at", "token"])
-        .groupBy("leaf", "same")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("at", "token", "support"))).alias("parts"),
-            F.median("support").alias("median"),
-        )
-    )
-    constant = F.transform("parts", lambda p: (p["support"] >= 2) & (p["support"] * 2 >= F.col("median")))
-    template = judged.select(
-        "leaf",
-        "same",
-        F.array_join(
-            F.zip_with("parts", constant, lambda p, keep: F.when(keep, p["token"]).otherwise(F.lit(FIELD))), " "
-        ).alias("template"),
-        (F.size(F.filter(constant, lambda keep: keep)) / F.size("parts")).alias("constant"),
+    groups = connected_components(_similar(distinct, depth, similarity))
+    grouped = materialize(
+        distinct.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
     )
-    templated = distinct.select("leaf", "same", "first", "last").join(
-        template.where(F.col("constant") >= similarity), ["leaf", "same"]
+    # A document that is given twice gives its lines twice here.
+    recurring = (
+        grouped.select("group", "node", "n", "first", "last").distinct()
+        .groupBy("group")
+        .agg(F.min("first").alias("group_first"), F.max("last").alias("group_last"), F.sum("n").alias("lines"))
+        .where("group_first < group_last")
     )
-    recurring = _in_two_documents(
-        templated.groupBy("leaf", "template").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    decided = materialize(grouped.join(recurring, "group"))
+    drops = (
+        narrow.join(decided.select("leaf", "same", "group_first").distinct(), ["leaf", "same"])
+        .where(F.col("id") > F.col("group_first"))
+        .select("id", "content", "at")
     )
-    decided = templated.select("leaf", "same", "template").join(
-        recurring.select("leaf", "template", "first"), ["leaf", "template"]
+    fields = (
+        decided.select("group", "group_first", "lines", F.posexplode("tokens").alias("at", "token"))
+        .groupBy("group", "group_first", "lines", "at")
+        .agg(F.when(F.min("token") == F.max("token"), F.min("token")).otherwise(F.lit(FIELD)).alias("token"))
+        .groupBy("group", "group_first", "lines")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("parts"))
     )
-    return (
-        narrow.join(decided.select("leaf", "same", "template", "first"), ["leaf", "same"])
-        .where(F.col("row") > F.col("first"))
-        .select("row", "at", "template", "first")
+    templates = fields.select(
+        F.array_join(F.transform("parts", lambda p: p["token"]), " ").alias("template"),
+        F.col("group_first").alias("first"),
+        F.col("lines").alias("n"),
     )
+    return drops, templates
 
 
 def drop_recurring_lines(
@@ -140,28 +174,34 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """The documents without the lines whose template an earlier document has.
 
-    "Earlier" is the smaller id, a null id first. Rows with the same id and text count
-    as one document and are treated alike. A null text stays null, and a document that
-    loses all lines has an empty text. Adds ``n_lines`` and ``n_dropped`` (0 for a null
-    text); all other columns are passed on, and columns of those two names are replaced.
+    "Earlier" is the smaller id; rows of one id count as one document. Rows without an id
+    are passed on as they are and do not count. A null text stays null, and a document
+    that loses all lines has an empty text. Adds ``n_lines`` and ``n_dropped`` (0 for a
+    null text); all other columns are passed on, and columns of those two names are
+    replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    key = F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("content")).alias("_row")
-    drops = (
-        recurring_lines(
-            docs.select(key.alias("row"), F.col(text).alias("text")), depth, least_tokens, similarity
-        )
-        .groupBy("row")
-        .agg(F.collect_set("at").alias("_gone"))
-        .withColumnRenamed("row", "_row")
+    content = F.xxhash64(F.col(text))
+    drops, _ = recurring_lines(
+        docs.select(F.col(doc_id).alias("id"), content.alias("content"), F.col(text).alias("text")).where(
+            F.col("id").isNotNull()
+        ),
+        depth,
+        least_tokens,
+        similarity,
+    )
+    gone = drops.groupBy(F.col("id").alias("_id"), F.col("content").alias("_content")).agg(
+        F.collect_set("at").alias("_gone")
     )
     # The lines are cut below the join, so that they are a column and not cut once per line.
     others = [F.col(f"`{name}`") for name in docs.columns if name != text]
-    cut = docs.select(key, F.split(F.col(text), "\n").alias("_cut"), *others)
+    cut = docs.select(
+        F.col(doc_id).alias("_id"), content.alias("_content"), F.split(F.col(text), "\n").alias("_cut"), *others
+    )
     kept = F.array_except(F.sequence(F.lit(0), F.size("_cut") - 1), F.col("_gone"))
     rest = F.array_join(F.transform(kept, lambda i: F.get("_cut", i)), "\n")
     lost = F.col("_gone").isNotNull() & F.col("_cut").isNotNull()
-    joined = cut.join(drops, "_row", "left").withColumns({
+    joined = cut.join(gone, ["_id", "_content"], "left").withColumns({
         text: F.when(lost, rest).otherwise(F.array_join("_cut", "\n")),
         "n_lines": F.coalesce(F.size("_cut"), F.lit(0)).cast("long"),
         "n_dropped": F.when(lost, F.size("_gone")).otherwise(0).cast("long"),

@@ -43,4 +43,17 @@ SELECT doc_id, size, source_size, target,
 FROM sized s JOIN below b ON s.source IS NOT DISTINCT FROM b.source
 """
 
-ORACLES = {"op7_mixing": OP7}
+OP5 = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id ASC NULLS LAST) AS keep_id,
+         row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id ASC NULLS LAST) AS place
+  FROM texts)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
+"""
+
+ORACLES = {"op5_exact_dedup": OP5, "op7_mixing": OP7}

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rostra.llm import bpe, langid, linededup, mixing, simhash
+from rostra.llm import ann, bpe, ctw, exactdedup, langid, linededup, mixing, simhash, tokencount, urlfilter
 from rostra.llm.common import ship, training
+from rostra.sources.tables import checkpoint_folder
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,12 +43,48 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    ship(spark)
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.search(rows, F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against a new digest index."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    index = exactdedup.DigestIndex(spark, f"{checkpoint_folder(spark)}/digests-{uuid.uuid4().hex}")
+    return index.add(docs)
+
+
+def op6_ctw(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document, learned from six sevenths of them."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return ctw.score(docs, training(F.col("doc_id"), 7, 2))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = documents(spark, folder).select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and tokens of every document."""
+    import public_tokenizers
+
+    docs = documents(spark, folder).select("doc_id", "text")
+    counted = tokencount.count_tokens(docs, tokencount.read_pieces(public_tokenizers.path(PIECE_FILE)))
+    return counted.select("doc_id", "n_words", "n_tokens")
+
+
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every url."""
+    texts = documents(spark, folder).select("text")
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    return urlfilter.judge(pages, texts).select("page_id", "host", "path", "rule", "verdict", "log_odds")
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from four fifths of them."""
     docs = documents(spark, folder).select("doc_id", "text", "lang")
@@ -60,6 +99,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
+    "op4_neighbours": op4_neighbours,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_ctw": op6_ctw,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
+    "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
 }
