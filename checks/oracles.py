@@ -354,7 +354,7 @@ ORACLES["dates_after_selection"] = (
     _DIM_DATES + "{o_selected} UNION " + _DIM_DATES
     + "{c_keyed} WHERE date_key IN (SELECT date_key FROM {o_documents_selected})"
 )
-ORACLES["facts_after_selection"] = """
+TABLES["o_facts_selected"] = """
     SELECT d.document_id, coalesce(s.date_key, d.date_key) AS date_key, o_orderstatus <> 'P' AS has_ocr_text,
         CASE WHEN o_totalprice < 100000 THEN 'empty_text' ELSE 'usable' END AS ocr_quality_flag,
         s.publication_year IS NOT NULL AS has_valid_publication_year,
@@ -363,6 +363,7 @@ ORACLES["facts_after_selection"] = """
         s.publication_year IS NOT NULL AND o_orderstatus <> 'P' AND o_totalprice >= 100000
             AND NOT coalesce(conflicts_with_metadata_year, false) AS included_in_analysis_flag
     FROM {c_keyed} d LEFT JOIN {o_selected} s ON d.document_id = s.document_id"""
+ORACLES["facts_after_selection"] = "SELECT * FROM {o_facts_selected}"
 ORACLES["mentions_after_selection"] = """
     SELECT mention_id, m.document_id, """ + ", ".join(
     f"CASE WHEN s.document_id IS NULL THEN m.{c} ELSE s.{c} END AS {c}"
@@ -370,12 +371,16 @@ ORACLES["mentions_after_selection"] = """
               "date_precision", "date_calendar")
 ) + """, cast(CASE WHEN s.document_id IS NULL THEN m.publication_date ELSE s.publication_date END AS varchar)
             AS publication_date,
-        m.included_in_analysis_flag AND m.figure_id IS NOT NULL AND (CASE WHEN s.document_id IS NULL
+        coalesce(f.included_in_analysis_flag, m.included_in_analysis_flag) AS included_in_analysis_flag,
+        coalesce(f.included_in_analysis_flag, m.included_in_analysis_flag) AND m.figure_id IS NOT NULL
+            AND NOT coalesce(conflicts_with_metadata_year, false) AND (CASE WHEN s.document_id IS NULL
             THEN m.publication_year ELSE s.publication_year END) IS NOT NULL AS is_analysis_ready,
         (CASE WHEN s.document_id IS NULL THEN m.publication_year ELSE s.publication_year END) IS NOT NULL
-            AND m.included_in_analysis_flag AND NOT coalesce(conflicts_with_metadata_year, false)
+            AND coalesce(f.included_in_analysis_flag, m.included_in_analysis_flag)
+            AND NOT coalesce(conflicts_with_metadata_year, false)
             AND coalesce(is_medium_or_high_stance_confidence, false) AS is_stance_ready
-    FROM {m_mentions} m LEFT JOIN {o_selected} s ON m.document_id = s.document_id"""
+    FROM {m_mentions} m LEFT JOIN {o_selected} s ON m.document_id = s.document_id
+        LEFT JOIN {o_facts_selected} f ON m.document_id = f.document_id"""
 
 # ---- lexicon ----
 
@@ -457,6 +462,7 @@ TABLES["o_corpus"] = r"""
         trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean_text FROM {documents})"""
 TABLES["o_found"] = mention_select("{o_corpus}")
 ORACLES["mentions_extract"] = "SELECT * FROM {o_found}"
+ORACLES["mentions_extract_routed"] = "SELECT * FROM {o_found}"
 ORACLES["mention_contexts"] = (
     "SELECT * EXCLUDE (document_id) FROM ("
     + context_select("{o_found}", "{o_corpus}", 75, 75) + ")"
@@ -491,8 +497,7 @@ ORACLES["stance_prompt"] = """
         || coalesce(title, '') || chr(10) || chr(10) || 'Context window:' || chr(10) || context_window
         AS prompt
     FROM {o_batch} b JOIN {m_contexts} c ON b.mention_id = c.mention_id
-        LEFT JOIN {m_documents} d ON b.document_id = d.document_id
-    WHERE match_confidence = 'high' AND b.publication_year = 1997"""
+        LEFT JOIN {m_documents} d ON b.document_id = d.document_id"""
 TABLES["o_normalized"] = r"""
     SELECT *, CASE WHEN stance_label_raw IN ('positive', 'negative', 'neutral_or_unclear')
             THEN stance_label_raw ELSE 'neutral_or_unclear' END AS stance_label,
@@ -539,10 +544,10 @@ ORACLES["model_extract_column"] = """
 
 # A file without content gives no row: the scan skips files of length zero.
 ORACLES["scan_metadata_files"] = (
-    "SELECT document_id, raw_metadata_xml FROM {t_metadata} WHERE raw_metadata_xml <> ''"
+    "SELECT document_id, raw_metadata_xml FROM {t_metadata}"
 )
 ORACLES["scan_ocr_files"] = (
-    "SELECT document_id, raw_text, source_file_type FROM {t_ocr} WHERE raw_text <> ''"
+    "SELECT document_id, raw_text, source_file_type FROM {t_ocr}"
 )
 ORACLES["write_nonempty"] = """
     SELECT * REPLACE (cast(publication_date AS varchar) AS publication_date) FROM {m_dates}

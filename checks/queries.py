@@ -281,8 +281,7 @@ def dates_after_selection(fx):
     return dates.dates_after_selection(selected, after, documents.dim_dates(fx.c_keyed))
 
 
-@query
-def facts_after_selection(fx):
+def _facts_after_selection(fx):
     facts = fx.c_keyed.select(
         "document_id",
         "date_key",
@@ -294,14 +293,20 @@ def facts_after_selection(fx):
     return dates.facts_after_selection(facts, _selected(fx))
 
 
+@query
+def facts_after_selection(fx):
+    return _facts_after_selection(fx)
+
+
 @query
 def mentions_after_selection(fx):
-    moved = dates.mentions_after_selection(fx.m_mentions, _selected(fx))
+    moved = dates.mentions_after_selection(fx.m_mentions, _selected(fx), _facts_after_selection(fx))
     return moved.select(
         "mention_id",
         "document_id",
         "date_key",
         *documents.DATE_COLUMNS,
+        "included_in_analysis_flag",
         "is_analysis_ready",
         "is_stance_ready",
     )
@@ -349,6 +354,12 @@ def mentions_extract(fx):
     return find_mentions(_texts(fx), fx.w_variants)
 
 
+@query
+def mentions_extract_routed(fx):
+    """The way of a large lexicon: texts meet variants by a join on words."""
+    return find_mentions(_texts(fx), fx.w_variants, inline_limit=0)
+
+
 @query
 def mention_contexts_(fx):
     found = find_mentions(_texts(fx), fx.w_variants, contexts=(75, 75))
@@ -409,12 +420,13 @@ def _batch(fx, **selection) -> DataFrame:
 @query
 def stance_batch_select(fx):
     """The 1000 oldest mentions still to be scored: the limit is the feature."""
-    return _batch(fx, match_confidence="any").select("mention_id", "document_id", "figure_id")
+    return _batch(fx, limit=1000, match_confidence="any").select("mention_id", "document_id", "figure_id")
 
 
 @query
 def stance_prompt(fx):
-    batch = _batch(fx, limit=None, match_confidence="high", publication_year=1997)
+    """Prompts of all mentions that are to be scored."""
+    batch = _batch(fx, limit=None, match_confidence="any")
     prompts = stance.with_prompts(batch, fx.m_contexts, fx.m_documents, "Classify.")
     return prompts.select("mention_id", "prompt")
 

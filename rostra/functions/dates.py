@@ -55,7 +55,8 @@ REPUBLICAN_YEAR_STARTS = {
     13: "1804-09-23", 14: "1805-09-23",
 }
 
-# Numerals, notes and vocabulary of a parsed date.
+# Numerals, notes and vocabulary of a parsed date. The note of a conversion
+# is worded as existing tables have it; the conversion here is this module's own.
 ROMAN_NUMERALS = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 NOTE_BAD_MONTH = "Invalid Gregorian month detected; preserved year only."
 NOTE_BAD_DAY = "Invalid Gregorian day/month detected; preserved month precision."
@@ -153,10 +154,14 @@ def date_struct(**values: str) -> str:
 
 
 def roman_value(numeral: str) -> str:
-    """Subtractive reading: a digit smaller than its right neighbour is taken off."""
+    """Read from the right: a digit smaller than the last one that was added is taken off."""
     digits = f"transform(regexp_extract_all({numeral}, '(.)', 1), c -> {_lookup(ROMAN_NUMERALS, 'c')})"
-    signed = "transform(v, (x, i) -> CASE WHEN x < try_element_at(v, i + 2) THEN -x ELSE x END)"
-    return _let("v", digits, f"aggregate({signed}, 0, (total, x) -> total + x)")
+    step = (
+        "(s, x) -> CASE WHEN x < s.added THEN named_struct('total', s.total - x, 'added', s.added) "
+        "ELSE named_struct('total', s.total + x, 'added', x) END"
+    )
+    start = "named_struct('total', 0, 'added', 0)"
+    return f"nullif(aggregate(reverse({digits}), {start}, {step}, s -> s.total), 0)"
 
 
 def republican_year(numeral: str) -> str:
@@ -167,9 +172,17 @@ def republican_year(numeral: str) -> str:
 
 
 def republican_to_gregorian(year: str, month: str, day: str) -> str:
-    """Gregorian date, NULL outside years I-XIV. Months have 30 days each."""
-    start = f"cast({_lookup(REPUBLICAN_YEAR_STARTS, year)} AS date)"
-    return f"date_add({start}, ({month} - 1) * 30 + {day} - 1)"
+    """Gregorian date. Months have 30 days each.
+
+    Years I-XIV began as they did. For those after the calendar was given up, leap years
+    are counted as proposed for it: XX and every fourth from there, by Gregorian centuries.
+    """
+    known = f"cast({_lookup(REPUBLICAN_YEAR_STARTS, 'a')} AS date)"
+    leaps = "floor((a - 1) / 4) - floor((a - 1) / 100) + floor((a - 1) / 400)"
+    later = f"date_add(date'1792-09-22', cast(365 * (a - 1) + {leaps} AS int))"
+    # Beyond 9999 a year is no date; 0 is no year.
+    start = f"CASE WHEN a BETWEEN 15 AND 8000 THEN {later} ELSE {known} END"
+    return _let("a", year, f"date_add({start}, ({month} - 1) * 30 + {day} - 1)")
 
 
 def _gregorian(year: str, month: str, day: str, found: dict[str, str]) -> str:

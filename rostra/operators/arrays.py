@@ -1,0 +1,59 @@
+"""Array expressions that Spark has no function for."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from rostra.functions.common import let
+
+# Totals are taken in blocks of 64, their ends in blocks again: linear up to 64 ** 4 items.
+_BLOCK = 64
+_LEVELS = 4
+
+
+def _running(steps: Column) -> Column:
+    return F.aggregate(
+        steps,
+        F.array().cast("array<int>"),
+        lambda totals, step: F.concat(
+            totals,
+            F.array(F.coalesce(F.try_element_at(totals, F.lit(-1)), F.lit(0)) + step),
+        ),
+    )
+
+
+def running_totals(steps: Column, levels: int = _LEVELS) -> Column:
+    """Running totals of an int array of any length.
+
+    Appending to an array copies it, so totals are taken in short blocks and the
+    block ends are summed the same way: work grows linearly with the length.
+    """
+
+    def blocked(values):
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")),
+            lambda b: _running(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))),
+        )
+
+        def joined(totals):
+            ends = F.transform(totals, lambda block: F.element_at(block, -1))
+            return let(
+                running_totals(ends, levels - 1),
+                lambda reached: F.flatten(
+                    F.transform(
+                        totals,
+                        lambda block, b: let(
+                            F.coalesce(F.get(reached, b - 1), F.lit(0)),
+                            lambda base: F.transform(block, lambda total: total + base),
+                        ),
+                    )
+                ),
+            )
+
+        return let(blocks, joined)
+
+    def choose(values):
+        return F.when(F.size(values) <= _BLOCK, _running(values)).otherwise(blocked(values))
+
+    return let(steps, choose) if levels > 1 else _running(steps)

@@ -6,90 +6,113 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.functions.common import let
+from rostra.operators.arrays import running_totals
 
 # Default window size in words.
 WORDS_BEFORE = 75
 WORDS_AFTER = 75
 
-_SPACE = r"[\s\x1c-\x1f]"
-_TOKEN = r"[^\s\x1c-\x1f]"
-# Characters looked at per requested word before falling back to the whole left side.
-_REACH = 16
+_TOKEN = r"[^\s\x1c-\x1f]+"
+# Characters of a text whose mentions are cut in one row; a longer text meets its
+# mentions in several.
+_STRETCH = 1 << 20
+
+
+def _count_up_to(values: Column, limit: Column) -> Column:
+    """How many of the ascending values are at most ``limit``, by bisection."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
+
+    def halve(span, _):
+        low, high = span.getField("low"), span.getField("high")
+        middle = F.floor((low + high) / 2).cast("int")
+        below = F.coalesce(F.get(values, middle) <= limit, F.lit(False))
+        return F.when(low >= high, span).otherwise(
+            F.struct(
+                F.when(below, middle + 1).otherwise(low).alias("low"),
+                F.when(below, high).otherwise(middle).alias("high"),
+            )
+        )
 
+    everything = F.struct(F.lit(0).alias("low"), F.size(values).alias("high"))
+    return F.aggregate(steps, everything, halve, lambda span: span.getField("low"))
 
-def _words_from_start(text: Column, count: int) -> Column:
-    """Rest of the current word and up to ``count`` further words."""
-    return F.regexp_extract(text, f"(?U)^{_TOKEN}*(?:{_SPACE}+{_TOKEN}+){{0,{count}}}", 0)
 
+def _window(text: Column, words: Column, span: Column, before: int, after: int) -> Column:
+    starts, ends = words.getField("starts"), words.getField("ends")
 
-def _words_to_end(text: Column, position: Column, count: int) -> Column:
-    """Mirror image of ``_words_from_start`` for the text before ``position``.
+    def cut(hit):
+        first, last = hit.getField("first"), hit.getField("last")
+        left = F.greatest(first - before, F.lit(0))
+        right = F.least(last + after, F.size(starts) - 1)
+        from_, to = F.get(starts, left), F.get(ends, right)
+        is_empty = first > last
 
-    The pattern is anchored, so it runs on the reversed text; a short stretch is
-    tried first and only if the words reach its edge the whole left side is read.
-    """
-    reach = _REACH * (count + 1)
+        def unless_empty(value, otherwise):
+            return F.when(is_empty, otherwise).otherwise(value)
 
-    def last_words(stretch):
-        return F.reverse(_words_from_start(F.reverse(stretch), count))
+        return F.struct(
+            unless_empty(first - left, 0).alias("words_before_actual"),
+            unless_empty(right - last, 0).alias("words_after_actual"),
+            unless_empty(right - left + 1, 0).alias("context_word_count"),
+            unless_empty(from_, 0).alias("context_start_char"),
+            unless_empty(to, 0).alias("context_end_char"),
+            unless_empty(F.substring(text, from_ + 1, to - from_), "").alias("context_window"),
+        )
 
-    near = F.substring(text, F.greatest(position - reach, F.lit(0)) + 1, F.least(position, F.lit(reach)))
-    return let(
-        last_words(near),
-        lambda words: F.when(
-            (position > reach) & (F.length(words) >= reach),
-            last_words(F.substring(text, F.lit(1), position)),
-        ).otherwise(words),
+    overlapping = F.struct(
+        _count_up_to(ends, span.getField("start")).alias("first"),
+        (_count_up_to(starts, span.getField("end") - 1) - 1).alias("last"),
     )
+    return let(overlapping, cut)
 
 
-def _breaks(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"(?U){_SPACE}+"))
-
-
-def context_window(
-    text: Column, start: Column, end: Column, before: int = WORDS_BEFORE, after: int = WORDS_AFTER
+def context_windows(
+    text: Column, spans: Column, before: int = WORDS_BEFORE, after: int = WORDS_AFTER
 ) -> Column:
-    """Struct with the original substring around ``[start, end)`` and its word counts.
+    """One struct per span (``start``, ``end``): the substring around it and its word counts.
 
-    Words are runs of non-space characters that overlap the mention. Without any
-    such word the struct is an empty string and zeros.
+    Words are runs of non-space characters; those that overlap the span are its own.
+    Without any such word the struct is an empty string and zeros. The words of the text
+    are located once, whatever the number of spans, and no word or gap is too long.
     """
 
-    def window(parts):
-        left, middle, right = (parts.getField(name) for name in ("left", "middle", "right"))
-        is_empty = F.coalesce(middle, F.lit("")) == ""
-        words_before, words_after = _breaks(left), _breaks(right)
-        first = parts.getField("first")
-
-        def unless_empty(value, otherwise):
-            return F.when(is_empty, otherwise).otherwise(value)
-
-        return F.struct(
-            unless_empty(words_before, 0).alias("words_before_actual"),
-            unless_empty(words_after, 0).alias("words_after_actual"),
-            unless_empty(words_before + words_after + _breaks(middle) + 1, 0).alias(
-                "context_word_count"
+    def located(lengths):
+        # Gap, word, gap, word, ..: a word starts where the totals before it end.
+        totals = running_totals(lengths)
+        return let(
+            totals,
+            lambda t: F.struct(
+                F.filter(t, lambda x, i: (i % 2 == 0) & (i < F.size(t) - 1)).alias("starts"),
+                F.filter(t, lambda x, i: i % 2 == 1).alias("ends"),
             ),
-            unless_empty(first - F.length(left), 0).alias("context_start_char"),
-            unless_empty(first + F.length(middle) + F.length(right), 0).alias("context_end_char"),
-            unless_empty(F.concat(left, middle, right), "").alias("context_window"),
         )
 
-    def split_at(mention):
-        indent = F.length(F.regexp_extract(mention, f"(?U)^{_SPACE}*", 0))
-        trimmed = F.regexp_replace(mention, f"(?U)^{_SPACE}+|{_SPACE}+$", "")
-        first = start + indent
-        return F.struct(
-            first.alias("first"),
-            trimmed.alias("middle"),
-            _words_to_end(text, first, before).alias("left"),
-            _words_from_start(
-                F.substring(text, first + F.length(trimmed) + 1, F.length(text)), after
-            ).alias("right"),
+    def lengths(whole):
+        gaps = F.transform(F.split(whole, f"(?U){_TOKEN}", -1), lambda x: F.length(x))
+        words = F.transform(
+            F.regexp_extract_all(whole, F.lit(f"(?U)({_TOKEN})"), 1), lambda x: F.length(x)
         )
+        return let(words, lambda w: F.flatten(
+            F.transform(gaps, lambda gap, i: F.when(
+                i < F.size(w), F.array(gap, F.get(w, i))
+            ).otherwise(F.array(gap)))
+        ))
 
-    return let(let(F.substring(text, start + 1, end - start), split_at), window)
+    return let(
+        F.coalesce(text, F.lit("")),
+        lambda whole: let(
+            let(lengths(whole), located),
+            lambda words: F.transform(spans, lambda span: _window(whole, words, span, before, after)),
+        ),
+    )
+
+
+def context_window(
+    text: Column, start: Column, end: Column, before: int = WORDS_BEFORE, after: int = WORDS_AFTER
+) -> Column:
+    """The context of one span, see ``context_windows``."""
+    span = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"))
+    return F.element_at(context_windows(text, F.array(span), before, after), 1)
 
 
 def mention_contexts(
@@ -100,22 +123,31 @@ def mention_contexts(
 ) -> DataFrame:
     """Contexts for an existing mention table.
 
-    ``find_mentions(..., contexts=...)`` cuts them while the text is at hand and
-    is the cheaper way; this join is for mentions that came from elsewhere.
+    ``find_mentions(..., contexts=...)`` cuts them while the text is at hand and is the
+    cheaper way; this join is for mentions that came from elsewhere. The mentions of a
+    document, or of a million characters of a long one, meet its text in one row.
     """
-    context = context_window(
-        F.col("clean_text"), F.col("match_start_char"), F.col("match_end_char"), before, after
+    grouped = (
+        mentions.select("mention_id", "document_id", "match_start_char", "match_end_char")
+        .groupBy("document_id", F.floor(F.col("match_start_char") / _STRETCH).alias("_stretch"))
+        .agg(
+            F.collect_list(
+                F.struct(
+                    "mention_id", F.col("match_start_char").alias("start"), F.col("match_end_char").alias("end")
+                )
+            ).alias("_spans")
+        )
     )
+    cut = context_windows(F.col("clean_text"), F.col("_spans"), before, after)
     return (
-        mentions.select("mention_id", "document_id", "match_start_char", "match_end_char")
-        .join(texts.select("document_id", "clean_text", "file_path"), "document_id", "left")
-        .select("mention_id", "document_id", context.alias("context"), "file_path")
+        grouped.join(texts.select("document_id", "clean_text", "file_path"), "document_id", "left")
+        .select("document_id", "file_path", F.explode(F.arrays_zip("_spans", cut.alias("context"))).alias("hit"))
         .select(
-            "mention_id",
+            "hit._spans.mention_id",
             "document_id",
             F.lit(before).alias("words_before_requested"),
             F.lit(after).alias("words_after_requested"),
-            "context.*",
+            "hit.context.*",
             "file_path",
         )
     )

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.functions.common import hashed_key, let
-from rostra.functions.text import count_spaces
+from rostra.operators.arrays import running_totals
+from rostra.operators.contexts import context_windows
 
 MATCH_METHOD = "dictionary_regex"
 
@@ -34,9 +35,8 @@ _VARIANTS = (
 _MENTIONS = (
     "array<struct<match_start_char:int,match_end_char:int,figure_id:string,"
     "variant_id:string,matched_variant:string,variant_normalized:string,"
-    "match_method:string,first_word:int,last_word:int>>"
+    "match_method:string>>"
 )
-_BLOCK = 16
 
 
 def fold_case_twins(text: Column) -> Column:
@@ -69,84 +69,22 @@ def _with_patterns(variants: DataFrame) -> DataFrame:
     )
 
 
-def _running(steps: Column) -> Column:
-    return F.aggregate(
-        steps,
-        F.array().cast("array<int>"),
-        lambda totals, step: F.concat(
-            totals,
-            F.array(F.coalesce(F.try_element_at(totals, F.lit(-1)), F.lit(0)) + step),
-        ),
-    )
-
-
-def running_totals(steps: Column, levels: int = 3) -> Column:
-    """Running totals of an int array of any length.
-
-    Appending to an array copies it, so totals are taken in short blocks and the
-    block ends are summed the same way: work grows linearly with the length.
-    """
-
-    def blocked(values):
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")),
-            lambda b: _running(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))),
-        )
-
-        def joined(totals):
-            ends = F.transform(totals, lambda block: F.element_at(block, -1))
-            return let(
-                running_totals(ends, levels - 1),
-                lambda reached: F.flatten(
-                    F.transform(
-                        totals,
-                        lambda block, b: let(
-                            F.coalesce(F.get(reached, b - 1), F.lit(0)),
-                            lambda base: F.transform(block, lambda total: total + base),
-                        ),
-                    )
-                ),
-            )
-
-        return let(blocks, joined)
-
-    def choose(values):
-        return F.when(F.size(values) <= _BLOCK, _running(values)).otherwise(blocked(values))
-
-    return let(steps, choose) if levels > 1 else _running(steps)
-
-
-def _matches(text: Column, variant: Column, with_words: bool) -> Column:
-    """All non-overlapping whole-word matches of one variant. The word positions are
-    only counted when contexts need them."""
+def _matches(text: Column, variant: Column) -> Column:
+    """All non-overlapping whole-word matches of one variant."""
     needle = variant.getField("needle")
 
     def located(gaps):
-        def steps(measure):
-            return F.transform(
-                gaps,
-                lambda gap, i: measure(gap) + F.when(i > 0, measure(needle)).otherwise(0),
-            )
-
-        words = running_totals(steps(count_spaces)) if with_words else F.lit(None)
-        return let(
-            F.struct(
-                running_totals(steps(F.length)).alias("starts"),
-                words.cast("array<int>").alias("words"),
-            ),
-            lambda at: F.transform(
-                at.getField("starts"),
-                lambda start, i: F.struct(
-                    start.alias("match_start_char"),
-                    (start + F.length(needle)).alias("match_end_char"),
-                    variant.getField("figure_id").alias("figure_id"),
-                    variant.getField("variant_id").alias("variant_id"),
-                    variant.getField("matched_variant").alias("matched_variant"),
-                    variant.getField("variant_normalized").alias("variant_normalized"),
-                    F.lit(MATCH_METHOD).alias("match_method"),
-                    F.get(at.getField("words"), i).alias("first_word"),
-                    (F.get(at.getField("words"), i) + count_spaces(needle)).alias("last_word"),
-                ),
+        steps = F.transform(gaps, lambda gap, i: F.length(gap) + F.when(i > 0, F.length(needle)).otherwise(0))
+        return F.transform(
+            running_totals(steps),
+            lambda start: F.struct(
+                start.alias("match_start_char"),
+                (start + F.length(needle)).alias("match_end_char"),
+                variant.getField("figure_id").alias("figure_id"),
+                variant.getField("variant_id").alias("variant_id"),
+                variant.getField("matched_variant").alias("matched_variant"),
+                variant.getField("variant_normalized").alias("variant_normalized"),
+                F.lit(MATCH_METHOD).alias("match_method"),
             ),
         )
 
@@ -161,67 +99,18 @@ def _matches(text: Column, variant: Column, with_words: bool) -> Column:
 
 
 def mentions_in_text(
-    clean_text_lower: Column, variants: Column, with_words: bool = False
+    clean_text_lower: Column, variants: Column
 ) -> Column:
     """Array of mentions sorted by (start, end, figure, variant). Overlapping mentions
     of different variants are all kept. The text must be lower-cased and single-spaced."""
     return let(
         fold_case_twins(F.coalesce(clean_text_lower, F.lit(""))),
         lambda text: F.array_sort(
-            F.flatten(F.transform(variants, lambda variant: _matches(text, variant, with_words)))
-        ),
-    )
-
-
-def _context(words: Column, starts: Column, mention: Column, before: int, after: int) -> Column:
-    """Window of words around a mention, by word position; constant work per word."""
-    first, last = mention.getField("first_word"), mention.getField("last_word")
-
-    def window(span):
-        left, right = span.getField("left"), span.getField("right")
-        return F.struct(
-            (first - left).alias("words_before_actual"),
-            (right - last).alias("words_after_actual"),
-            (right - left + 1).alias("context_word_count"),
-            F.get(starts, left).alias("context_start_char"),
-            (F.get(starts, right) + F.length(F.get(words, right))).alias("context_end_char"),
-            F.array_join(F.slice(words, left + 1, right - left + 1), " ").alias("context_window"),
-        )
-
-    return let(
-        F.struct(
-            F.greatest(first - before, F.lit(0)).alias("left"),
-            F.least(last + after, F.size(words) - 1).alias("right"),
+            F.flatten(F.transform(variants, lambda variant: _matches(text, variant)))
         ),
-        window,
     )
 
 
-def _with_contexts(clean_text: Column, mentions: Column, before: int, after: int) -> Column:
-    def word_starts(words):
-        return running_totals(
-            F.transform(
-                words,
-                lambda word, i: F.when(i > 0, F.length(F.get(words, i - 1)) + 1).otherwise(0),
-            )
-        )
-
-    attached = let(
-        F.split(clean_text, " "),
-        lambda words: let(
-            word_starts(words),
-            lambda starts: F.transform(
-                mentions,
-                lambda m: F.struct(
-                    m.alias("mention"),
-                    _context(words, starts, m, before, after).alias("context"),
-                ),
-            ),
-        ),
-    )
-    return F.when(F.size(mentions) > 0, attached)
-
-
 def inline_variants(variants: DataFrame, limit: int = INLINE_VARIANTS) -> Column | None:
     """The lexicon as one literal column, or None when it has more than ``limit`` rows.
 
@@ -238,44 +127,35 @@ def inline_variants(variants: DataFrame, limit: int = INLINE_VARIANTS) -> Column
 def route_variants(texts: DataFrame, variants: DataFrame) -> DataFrame:
     """Texts with an array of the variants that can occur in them, for a large lexicon.
 
-    A variant can only match where its first word is a whole word of the text, so
-    documents meet variants in an equi-join on words. Variants without any word
-    character are rare and go to every text as a literal.
+    A variant can only match where its longest word is a whole word of the text (for one
+    without a letter or digit: where its first character is), so documents meet variants
+    in an equi-join. Words that no variant has are dropped before anything is shuffled by
+    document: the lexicon's words are few beside those of the texts.
     """
     word = F.lit(f"({_WORD}+)")
-    patterned = _with_patterns(variants).select(
-        F.struct("*").alias("variant"),
-        F.try_element_at(F.regexp_extract_all("needle", word, 1), F.lit(1)).alias("word"),
+    patterned = _with_patterns(variants)
+    words = F.array_sort(
+        F.transform(F.regexp_extract_all("needle", word, 1), lambda w: F.struct(-F.length(w), w.alias("word")))
     )
-    wordless = inline_variants(
-        patterned.where(F.col("word").isNull()).select(
-            "variant.figure_id",
-            "variant.variant_id",
-            F.col("variant.matched_variant").alias("variant"),
-            "variant.variant_normalized",
-        )
+    patterned = patterned.select(
+        F.struct("*").alias("variant"),
+        F.coalesce(F.get(words, 0)["word"], F.substring("needle", 1, 1)).alias("word"),
     )
-    if wordless is None:
-        raise ValueError("too many lexicon variants without a letter or digit")
-    words = texts.select(
+    text = fold_case_twins(F.col("clean_text_lower"))
+    signs = F.regexp_extract_all(text, F.lit(f"([^\\p{{L}}\\p{{N}}_])"), 1)
+    met = texts.select(
         "document_id",
-        F.explode(
-            F.array_distinct(
-                F.regexp_extract_all(fold_case_twins(F.col("clean_text_lower")), word, 1)
-            )
-        ).alias("word"),
+        F.explode(F.array_distinct(F.concat(F.regexp_extract_all(text, word, 1), signs))).alias("word"),
     )
+    # The semi-join is against distinct words, so a common word is met once per text.
     routed = (
-        words.join(patterned.where(F.col("word").isNotNull()), "word")
+        met.join(patterned.select("word").distinct(), "word", "left_semi")
+        .join(patterned, "word")
         .groupBy("document_id")
         .agg(F.collect_list("variant").alias("routed"))
     )
     present = F.coalesce(F.col("routed").cast(_VARIANTS), F.array().cast(_VARIANTS))
-    return (
-        texts.join(routed, "document_id", "left")
-        .withColumn("variants", F.concat(present, wordless))
-        .drop("routed")
-    )
+    return texts.join(routed, "document_id", "left").withColumn("variants", present).drop("routed")
 
 
 def find_mentions(
@@ -293,7 +173,7 @@ def find_mentions(
     lexicon = inline_variants(variants, inline_limit)
     if lexicon is None:
         texts, lexicon = route_variants(texts, variants), F.col("variants")
-    mentions = mentions_in_text(F.col("clean_text_lower"), lexicon, contexts is not None)
+    mentions = mentions_in_text(F.col("clean_text_lower"), lexicon)
     found = texts.withColumn("mentions", mentions)
     # Outer explode plus a filter: an inner explode makes the optimizer add a size
     # check on the array, which would run the whole search a second time.
@@ -304,7 +184,15 @@ def find_mentions(
         extra = []
     else:
         before, after = contexts
-        hits = _with_contexts(F.col("clean_text"), F.col("mentions"), before, after)
+        spans = F.transform(
+            "mentions",
+            lambda m: F.struct(m["match_start_char"].alias("start"), m["match_end_char"].alias("end")),
+        )
+        cut = context_windows(F.col("clean_text"), spans, before, after)
+        hits = F.when(
+            F.size("mentions") > 0,
+            F.zip_with("mentions", cut, lambda m, c: F.struct(m.alias("mention"), c.alias("context"))),
+        )
         rows = (
             found.select("document_id", F.explode_outer(hits).alias("hit"))
             .where(F.col("hit").isNotNull())
@@ -322,6 +210,4 @@ def find_mentions(
         F.col("mention.match_start_char").cast("string"),
         F.col("mention.match_end_char").cast("string"),
     )
-    return rows.select(mention_id.alias("mention_id"), "document_id", "mention.*", *extra).drop(
-        "first_word", "last_word"
-    )
+    return rows.select(mention_id.alias("mention_id"), "document_id", "mention.*", *extra)

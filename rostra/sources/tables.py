@@ -11,27 +11,46 @@ from pyspark.sql import types as T
 
 VERSION = "version="
 PUBLISHED = "_PUBLISHED"
+CLAIMED = "_CLAIMED"
 
 
 def write_table(
     rows: DataFrame, path: str, require_rows: bool = True, partition_by: list[str] | None = None
 ) -> int:
-    """Overwrite ``path`` and return the number of rows written.
+    """Replace ``path`` and return the number of rows written.
 
-    Rows are counted while they are written, so the plan runs once. An empty result
-    raises when rows are required.
+    The rows are written beside the old ones and counted meanwhile, so the plan runs
+    once; only then the folders change places. An empty result raises when rows are
+    required, and a failure at any point leaves the old rows as they were.
     """
+    spark = rows.sparkSession
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     counted = Observation()
-    writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(beside)
     written = counted.get["rows"]
+    new, files = _located(spark, beside)
     if require_rows and not written:
+        files.delete(new, True)
         raise RuntimeError(f"no rows for {path}")
+    target, _ = _located(spark, path)
+    old, _ = _located(spark, f"{beside}.old")
+    if files.exists(target) and not files.rename(target, old):
+        raise RuntimeError(f"{path} cannot be replaced")
+    if not files.rename(new, target):
+        raise RuntimeError(f"{path} cannot be written")
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
     return written
 
 
+def _located(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """Scan split over all cores when its files give fewer partitions than that.
 
@@ -53,42 +72,68 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _path(self, location: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
-        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
-    def _versions(self, name: str) -> list[int]:
-        folder, files = self._path(f"{self.root}/{name}")
-        if not files.exists(folder):
-            return []
-        numbers = []
-        for entry in files.listStatus(folder):
-            leaf = entry.getPath().getName()
-            marker, _ = self._path(f"{self.root}/{name}/{leaf}/{PUBLISHED}")
-            if leaf.startswith(VERSION) and files.exists(marker):
-                numbers.append(int(leaf.removeprefix(VERSION).split("-")[0]))
-        return sorted(numbers)
-
-    def _location(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/{VERSION}{version:06d}"
+    def _entries(self, name: str, folder: str) -> list[str]:
+        path, files = _located(self.spark, f"{self.root}/{name}/{folder}")
+        return sorted(e.getPath().getName() for e in files.listStatus(path)) if files.exists(path) else []
+
+    def _versions(self, name: str) -> list[tuple[int, str, bool]]:
+        """Published versions in order: number, folder, and whether it adds to the one before.
+
+        A version is published by an empty file named after all three, so one listing
+        finds them.
+        """
+        found = []
+        for leaf in self._entries(name, PUBLISHED):
+            number, kind, folder = leaf.split("-", 2)
+            found.append((int(number), folder, kind == "added"))
+        return sorted(found)
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
+    def _current(self, name: str) -> list[str]:
+        """Folders of the last whole version and of what was added since."""
+        folders: list[str] = []
+        for _, folder, added in self._versions(name):
+            folders = [*folders, folder] if added else [folder]
+        return folders
+
     def read(self, name: str) -> DataFrame:
-        versions = self._versions(name)
-        if not versions:
+        folders = self._current(name)
+        if not folders:
             raise LookupError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(self._location(name, versions[-1]))
+        return self.spark.read.option("mergeSchema", len(folders) > 1).parquet(
+            *[f"{self.root}/{name}/{folder}" for folder in folders]
+        )
+
+    def _publish(self, name: str, rows: DataFrame, require_rows: bool, kind: str) -> DataFrame:
+        number = max((n for n, _, _ in self._versions(name)), default=0) + 1
+        folder = f"{VERSION}{number:06d}-{uuid.uuid4().hex}"
+        write_table(rows, f"{self.root}/{name}/{folder}", require_rows)
+        claim, files = _located(self.spark, f"{self.root}/{name}/{CLAIMED}/{number:06d}")
+        # Creating without overwriting succeeds for one writer only.
+        files.create(claim, False).close()
+        marker, _ = _located(self.spark, f"{self.root}/{name}/{PUBLISHED}/{number:06d}-{kind}-{folder}")
+        files.create(marker, False).close()
+        return self.read(name)
 
     def write(self, name: str, rows: DataFrame, require_rows: bool = True) -> DataFrame:
         """Write and publish a new version, and return it as read back from storage."""
-        version = (self._versions(name) or [0])[-1] + 1
-        location = self._location(name, version)
-        write_table(rows, location, require_rows)
-        marker, files = self._path(f"{location}/{PUBLISHED}")
-        files.create(marker, True).close()
-        return self.read(name)
+        return self._publish(name, rows, require_rows, "whole")
+
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """Publish a version that has the rows of the last one and these; only these are written."""
+        return self._publish(name, rows, False, "added")
+
+    def expire(self, name: str) -> int:
+        """Delete the folders of versions that the current one does not need; returns how many."""
+        keep = {*self._current(name), PUBLISHED, CLAIMED}
+        published = {folder for _, folder, _ in self._versions(name)}
+        gone = [leaf for leaf in self._entries(name, "") if leaf in published - keep]
+        for leaf in gone:
+            path, files = _located(self.spark, f"{self.root}/{name}/{leaf}")
+            files.delete(path, True)
+        return len(gone)
 
     def create_if_missing(self, name: str, schema: T.StructType | str) -> DataFrame:
         if not self.exists(name):

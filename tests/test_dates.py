@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from rostra.functions.dates import best_publication_date
+import pytest
+
+from rostra.functions.dates import best_publication_date, date_from_text
 
 Y, M, D = "publication_year", "publication_month", "publication_day"
 CASES = [
@@ -40,8 +42,7 @@ CASES = [
     (None, "1er vendémiaire, an IIII", None,
      (1795, 9, 23, "day", "title", "french_republican", "medium")),
     (None, "30 fructidor an 11", None, (1803, 9, 17, "day", "title", "french_republican", "medium")),
-    (None, "9 thermidor an 79", None,
-     (None, 11, None, "revolutionary_month", "title", "french_republican", "low")),
+    (None, "9 thermidor an 79", None, (1871, 7, 28, "day", "title", "french_republican", "medium")),
     (None, "thermidor de l'an II", None, (None, None, None, "unknown", "none", "unknown", "low")),
     ("", "  ", None, (None, None, None, "unknown", "none", "unknown", "low")),
 ]
@@ -74,3 +75,22 @@ def test_notes(spark):
     assert notes[0] == "More precise date matched metadata year."
     assert notes[1].endswith("More precise date matched metadata year.")
     assert notes[1].startswith("Converted from French Republican calendar")
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("9 thermidor an VIII", dt.date(1800, 7, 28)),
+    ("9 thermidor an IIX", dt.date(1800, 7, 28)),
+    ("9 thermidor an IIV", dt.date(1795, 7, 27)),
+    ("9 thermidor an XIIX", None),
+    ("1er vendémiaire an XV", dt.date(1806, 9, 23)),
+    ("1er vendemiaire an XX", dt.date(1811, 9, 23)),
+    ("1er vendemiaire an 21", dt.date(1812, 9, 23)),
+])
+def test_numerals_and_late_republican_years(spark, text, expected):
+    """Numerals are read from the right: IIV is 5 - 2, IIX is 10 - 2."""
+    frame = spark.createDataFrame([(text,)], "t string")
+    found = frame.select(date_from_text("t", "title", "medium").alias("d")).first().d.publication_date
+    if text.endswith("XIIX"):
+        # 10 + 10 - 2
+        expected = dt.date(1792, 9, 22) + dt.timedelta(days=365 * 17 + 17 // 4 + 10 * 30 + 8)
+    assert found == expected

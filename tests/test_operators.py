@@ -9,10 +9,10 @@ from rostra.functions import stance as st
 from rostra.operators.ranking import ranked_in_groups
 from rostra.operators.upserts import merge_insert_only, merge_update, merge_upsert
 from rostra.plans import dates, stance
-from rostra.plans.quality import METRICS
+from rostra.plans.quality import METRICS, quality_metrics
 from rostra.sources import files, lexicon, manifest
 from rostra.sources.tables import Tables, materialize, with_missing_columns, write_table
-from rostra.streaming.resumable import score_next_batch
+from rostra.streaming.resumable import current_audit, publish_mentions, score_next_batch, scored_mentions
 
 
 @pytest.mark.parametrize("buckets", [1, 2, 7, 64])
@@ -197,11 +197,103 @@ def test_resumable_scoring(spark, tmp_path):
     audit = tables.read("silver_stance_model_audit")
     assert audit.count() == 7 and audit.select("mention_id").distinct().count() == 7
     assert tables.read("silver_dim_stance_categories").count() == 1
-    facts = tables.read("silver_fact_figure_mentions")
+    facts = publish_mentions(tables)
     assert facts.count() == n and facts.where("is_stance_scored").count() == 7
     assert facts.where("stance_score = 0.33 and is_medium_or_high_stance_confidence").count() == 7
     assert score_next_batch(tables, scorer, "model-a", limit=None, include_scored=True) == 7
-    assert tables.read("silver_stance_model_audit").count() == 7
+    assert current_audit(tables).count() == 7
+    # What the versions before left behind goes, the rows stay.
+    assert tables.expire("silver_fact_figure_mentions") == 2
+    assert tables.read("silver_fact_figure_mentions").count() == n
+
+
+@pytest.mark.parametrize("broken", ["silver_dim_stance_categories", "silver_stance_model_audit"])
+def test_a_broken_run_loses_no_score(spark, tmp_path, monkeypatch, broken):
+    """Whatever write fails, the next runs end with every mention scored."""
+    tables = Tables(spark, str(tmp_path))
+    mentions = spark.range(4).select(
+        F.col("id").cast("string").alias("mention_id"), F.lit("d").alias("document_id"),
+        F.lit("f").alias("figure_id"), F.lit("v").alias("variant_id"),
+        F.lit("F").alias("canonical_name"), F.lit("f").alias("matched_variant"),
+        F.lit(1789).alias("publication_year"), F.lit(None).cast("int").alias("publication_month"),
+        F.lit("high").alias("match_confidence"), F.lit(True).alias("is_analysis_ready"))
+    tables.write("silver_fact_figure_mentions", mentions)
+    tables.write("silver_dim_mention_contexts", mentions.select(
+        "mention_id", F.lit("mot").alias("context_window"), F.lit(1).alias("context_word_count"),
+        F.lit(0).alias("context_start_char"), F.lit(3).alias("context_end_char")))
+    tables.write("silver_dim_documents", spark.createDataFrame([("d", "T")], "document_id string, title string"))
+    append = Tables.append
+
+    def failing(self, name, rows):
+        if name == broken:
+            raise OSError("lost")
+        return append(self, name, rows)
+
+    def scorer(prompts):
+        return ['{"stance_label": "negative", "stance_confidence": "high"}' for _ in prompts]
+
+    monkeypatch.setattr(Tables, "append", failing)
+    with pytest.raises(OSError):
+        score_next_batch(tables, scorer, "m", limit=2)
+    monkeypatch.setattr(Tables, "append", append)
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.glob("silver_fact_figure_mentions/*/part-*")}
+    sizes = [score_next_batch(tables, scorer, "m", limit=2) for _ in range(3)]
+    assert sum(sizes) == 4 and sizes[-1] == 0
+    assert before == {f: f.stat().st_mtime_ns for f in before}
+    scored = scored_mentions(tables)
+    assert scored.count() == 4 and scored.where("is_stance_scored").count() == 4
+
+
+def test_an_empty_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_table(spark.range(3), path) == 3
+    with pytest.raises(RuntimeError, match="no rows"):
+        write_table(spark.range(0), path)
+    assert spark.read.parquet(path).count() == 3
+    assert write_table(spark.range(2), path) == 2 and spark.read.parquet(path).count() == 2
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_two_writers_do_not_share_a_version(spark, tmp_path):
+    one, two = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
+    one.write("t", spark.range(1))
+    stale = two._versions("t")
+    one.write("t", spark.range(2))
+    two._versions = lambda name: stale
+    with pytest.raises(Exception, match="exist"):
+        two.write("t", spark.range(9))
+    assert one.read("t").count() == 2
+    one.append("t", spark.range(5, 8))
+    assert sorted(r.id for r in one.read("t").collect()) == [0, 1, 5, 6, 7]
+
+
+def test_empty_files_are_rows(spark, tmp_path):
+    for name, text in (("a b+1", "x"), ("ü", ""), ("c%20", "")):
+        (tmp_path / f"{name}_djvu.txt").write_text(text)
+    rows = {r.document_id: r.raw_text for r in files.read_ocr_text_files(spark, str(tmp_path)).collect()}
+    assert len(rows) == 3 and rows["ü"] == "" and sorted(rows.values()) == ["", "", "x"]
+
+
+def test_conflicting_documents_leave_the_analysis(spark):
+    columns = ("document_id string, mention_id string, figure_id string, date_key string, publication_year int, "
+               "publication_month int, publication_day int, publication_date date, date_precision string, "
+               "date_calendar string, included_in_analysis_flag boolean, is_medium_or_high_stance_confidence boolean")
+    rows = [(d, d, "f", None, 1790, None, None, None, "year", "gregorian", flag, True)
+            for d, flag in (("conflict", True), ("fine", True), ("now", False), ("other", True))]
+    selected = spark.createDataFrame(
+        [(d, "k", 1791, None, None, None, "year", "gregorian", d == "conflict") for d in ("conflict", "fine", "now")],
+        "document_id string, date_key string, publication_year int, publication_month int, publication_day int, "
+        "publication_date date, date_precision string, date_calendar string, conflicts_with_metadata_year boolean")
+    facts = spark.createDataFrame([("conflict", False), ("fine", True), ("now", True)],
+                                  "document_id string, included_in_analysis_flag boolean")
+    got = dates.mentions_after_selection(spark.createDataFrame(rows, columns), selected, facts)
+    ready = {r.document_id: (r.is_analysis_ready, r.publication_year) for r in got.collect()}
+    assert ready == {"conflict": (False, 1791), "fine": (True, 1791), "now": (True, 1791), "other": (True, 1790)}
+
+
+def test_quality_needs_every_table(spark):
+    with pytest.raises(ValueError, match="silver_dim_documents"):
+        quality_metrics({"bronze_metadata": spark.range(1)})
 
 
 def test_scores(spark):

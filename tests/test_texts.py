@@ -1,5 +1,6 @@
 """Metadata XML, cleaning, mentions and contexts."""
 
+import random
 import re
 
 import pytest
@@ -114,6 +115,31 @@ def test_both_context_forms_agree(corpus):
     assert sorted(fused.select(*columns).collect()) == sorted(joined.select(*columns).collect())
 
 
+def test_contexts_of_odd_words_and_gaps(spark):
+    """Both forms and a plain loop over random words and gaps of any length."""
+    pick = random.Random(3)
+    rows, expected = [], {}
+    for d in range(30):
+        parts = []
+        for _ in range(pick.randrange(1, 60)):
+            parts += [pick.choice(["danton", "x" * pick.randrange(1, 90), "é" * pick.randrange(1, 5)]),
+                      " " * pick.choice([1, 1, 1, 2, 150])]
+        text = "".join(parts)
+        rows.append((f"d{d}", text, f"f{d}"))
+        words = [m.span() for m in re.finditer(r"\S+", text)]
+        for i, (a, b) in enumerate(words):
+            if text[a:b] == "danton":
+                left, right = max(0, i - 3), min(len(words) - 1, i + 2)
+                expected[f"d{d}:{a}"] = (text[words[left][0]:words[right][1]], i - left, right - i)
+    texts = spark.createDataFrame(rows, "document_id string, clean_text string, file_path string")
+    mentions = spark.createDataFrame(
+        [(key, key.split(":")[0], int(key.split(":")[1]), int(key.split(":")[1]) + 6) for key in expected],
+        "mention_id string, document_id string, match_start_char int, match_end_char int")
+    got = {r.mention_id: (r.context_window, r.words_before_actual, r.words_after_actual)
+           for r in mention_contexts(mentions, texts, 3, 2).collect()}
+    assert got == expected
+
+
 CONTEXTS = [
     ("un deux trois robespierre quatre cinq six", 14, 25, 2, 2,
      ("deux trois robespierre quatre cinq", 2, 2, 5)),
@@ -126,6 +152,10 @@ CONTEXTS = [
     ("un deux", 2, 3, 1, 1, ("", 0, 0, 0)),
     ("un deux", 2, 5, 0, 0, ("deux", 0, 0, 1)),
     ("a" * 3000 + " b c", 3001, 3002, 1, 1, ("a" * 3000 + " b c", 1, 1, 3)),
+    ("alpha beta " + "x" * 46 + " danton", 58, 64, 2, 0, ("beta " + "x" * 46 + " danton", 2, 0, 3)),
+    ("a b c " + "y" * 78 + " danton", 85, 91, 4, 0, ("a b c " + "y" * 78 + " danton", 4, 0, 5)),
+    ("a b c" + " " * 200 + "danton", 205, 211, 3, 0, ("a b c" + " " * 200 + "danton", 3, 0, 4)),
+    ("x" * 200 + "danton y", 200, 206, 1, 1, ("x" * 200 + "danton y", 0, 1, 2)),
 ]
 
 
