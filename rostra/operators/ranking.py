@@ -24,10 +24,18 @@ def split_points(rows: DataFrame, order: list[str], buckets: int) -> list[tuple]
 
     The sample holds 16 rows per bucket, those with the smallest hash of the ordering
     columns: uniform over rows, the same on every run, and bounded wherever it travels.
+    A share of the hashes that holds a few times as many is cut out first, so that a task
+    sends no more than its part of them.
     """
     if buckets < 2:
         return []
-    sample = rows.select(*order).orderBy(F.xxhash64(*order), *order).limit(16 * buckets)
+    share = max(1, rows.count() // (64 * buckets))
+    sample = (
+        rows.select(*order)
+        .where(F.pmod(F.xxhash64(*order), F.lit(share)) == 0)
+        .orderBy(F.xxhash64(*order), *order)
+        .limit(16 * buckets)
+    )
     picked = sorted(tuple(row) for row in sample.dropna().collect())
     cuts = [picked[len(picked) * i // buckets] for i in range(1, buckets)] if picked else []
     return sorted(set(cuts))

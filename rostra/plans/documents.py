@@ -35,14 +35,16 @@ def parse_metadata(bronze_metadata: DataFrame) -> DataFrame:
 def parsed_documents(bronze_metadata: DataFrame, bronze_ocr_text: DataFrame) -> DataFrame:
     """Metadata with the OCR front matter, the rule-based date and its key.
 
-    Only the front matter of a text crosses the join.
+    Only the front matter of a text crosses the join, which reuses the exchange of the
+    aggregate. Of several texts of a document the smallest front matter counts.
     """
     front_matter = (
         bronze_ocr_text.select(
             "document_id",
             F.substring("raw_text", 1, FRONT_MATTER_CHARACTERS).alias("ocr_front_matter"),
         )
-        .distinct()
+        .groupBy("document_id")
+        .agg(F.min("ocr_front_matter").alias("ocr_front_matter"))
         .withColumn("has_ocr_text", F.lit(True))
     )
     date = best_publication_date("publication_date_raw", "title", "ocr_front_matter")

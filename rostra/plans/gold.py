@@ -167,20 +167,24 @@ def figure_mentions_by_period(
             for v in ("direct", "indirect", "not_relevant")
         },
     }
-    per_document = rows.groupBy(*keys, "document_id").agg(
-        *[measure.alias(name) for name, measure in measures.items()], *_date_span()
+    # Each mention counts once for its document and once for its variant, so that both
+    # are distinct after one aggregate over one scan.
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit(True).alias("by_document"), F.col("document_id").alias("member")),
+            F.struct(F.lit(False).alias("by_document"), F.col("variant_id").alias("member")),
+        )
     )
-    # Distinct variants come from their own small branch: one row per group and
-    # variant, recognisable by the missing document measures.
-    per_variant = rows.groupBy(*keys, "variant_id").agg(F.lit(1).alias("is_variant")).select(
-        *keys, F.when(F.col("variant_id").isNotNull(), 1).alias("variants")
+    members = (
+        rows.withColumn("side", sides)
+        .groupBy(*keys, "side.by_document", "side.member")
+        .agg(*[measure.alias(name) for name, measure in measures.items()], *_date_span())
     )
-    combined = per_document.unionByName(per_variant, allowMissingColumns=True)
-    has_document = F.col("document_id").isNotNull()
-    grouped = combined.groupBy(*keys).agg(
-        *[F.sum(name).alias(name) for name in measures],
-        F.count("document_id").alias("document_count"),
-        F.count("variants").alias("matched_variant_count"),
+    has_document = F.col("by_document") & F.col("member").isNotNull()
+    grouped = members.groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("by_document"), F.col(name))).alias(name) for name in measures],
+        count_when(has_document).alias("document_count"),
+        count_when(~F.col("by_document") & F.col("member").isNotNull()).alias("matched_variant_count"),
         count_when(has_document & (F.col("analysis_ready_mention_count") > 0)).alias(
             "analysis_ready_document_count"
         ),
@@ -587,9 +591,7 @@ def top_stance_contexts(
                 "stance_method",
                 "stance_model",
                 "model_stance_score_raw",
-                "evidence_text",
-                "evidence_translation_en",
-                "explanation",
+                (F.length(F.trim("evidence_text")) > 0).alias("has_evidence"),
             ),
             ["stance_audit_id", "mention_id"],
         ),
@@ -598,8 +600,8 @@ def top_stance_contexts(
     confident = F.col("stance_confidence").isin("medium", "high")
     relevant = F.col("target_relevance").isin("direct", "indirect")
     evidence = star.where(
-        confident & relevant & (F.length(F.trim("evidence_text")) > 0)
-    ).withColumns(
+        confident & relevant & F.col("has_evidence")
+    ).drop("has_evidence").withColumns(
         {
             "abs_stance_score": F.abs("stance_score"),
             "confidence_rank": vocabulary_rank(F.col("stance_confidence"), "high", "medium"),
@@ -620,7 +622,7 @@ def top_stance_contexts(
         },
         sample_from=mentions,
     )
-    # Wide attributes join the ranked rows, not the rows being ranked.
+    # Texts and wide attributes join the ranked rows, not the rows being ranked.
     attached = join_star_left(
         ranked,
         (
@@ -637,6 +639,12 @@ def top_stance_contexts(
             ),
             "mention_id",
         ),
+        (
+            audit.select(
+                "stance_audit_id", "mention_id", "evidence_text", "evidence_translation_en", "explanation"
+            ),
+            ["stance_audit_id", "mention_id"],
+        ),
     )
     label = F.col("stance_label")
     return attached.withColumns(
