@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
@@ -25,11 +26,10 @@ from rostra.llm.common import BLOCK_CHARS, append_columns, blocks, schema_with
 
 # Fixed value: Unicode white space, as the pattern's \s understands it.
 _SPACE = "\t-\r \x85\xa0  -     　"
-# Bytes of new words in one query, and rounds before its finished words are set aside.
-_QUERY_BYTES = 200_000
+# Rounds of a query before its finished words are set aside.
 _ROUNDS = 24
-# Units, and runs of ids, that a task remembers.
-_REMEMBERED = 250_000
+# Units, words and runs of ids that a task remembers, each. 100,000 take about 60 MB.
+REMEMBERED = 200_000
 # Words of more bytes contract all occurrences of their least pair in a round.
 _LONG = 48
 
@@ -72,7 +72,7 @@ _EVERY = """
     WHERE p.round < {rounds}
 """
 _DECODE = """
-SELECT run, string_agg(hex, '' ORDER BY pos) AS hex FROM tokens JOIN vocabulary USING (id) GROUP BY run
+SELECT run, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes FROM tokens JOIN vocabulary USING (id) GROUP BY run
 """
 
 
@@ -120,13 +120,13 @@ def _still(known: dict, met: Iterable) -> dict:
     return {item: known[item] for item in met if item in known}
 
 
-def _portions(words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]]]:
-    """Words in lists of about ``_QUERY_BYTES`` bytes."""
+def _portions(words: list[tuple[str, bytes]], limit: int) -> Iterator[list[tuple[str, bytes]]]:
+    """Words in lists of about ``limit`` bytes."""
     part, size = [], 0
     for word in words:
         part.append(word)
         size += len(word[1])
-        if size >= _QUERY_BYTES:
+        if size >= limit:
             yield part
             part, size = [], 0
     if part:
@@ -136,14 +136,21 @@ def _portions(words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]
 class ByteBpe:
     """Encoder and decoder of one Python worker."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, regular: bool, rounds: int = _ROUNDS):
+    def __init__(
+        self,
+        ranks: dict[bytes, int],
+        pattern: str,
+        regular: bool,
+        remembered: int = REMEMBERED,
+        rounds: int = _ROUNDS,
+    ):
         import duckdb
         import regex
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.unit = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         rows = np.array(merge_rows(ranks), np.int64).reshape(-1, 3)
         self._table("merges", pair=rows[:, 0] << 32 | rows[:, 1], id=rows[:, 2].astype(np.int32))
         self._table(
@@ -151,7 +158,7 @@ class ByteBpe:
             id=np.array(list(ranks.values()), np.int32),
             hex=pa.array([token.hex() for token in ranks]),
         )
-        self.rounds, self.regular = rounds, regular
+        self.rounds, self.regular, self.remembered = rounds, regular, remembered
         self.opens = np.zeros(max(ranks.values()) + 1, bool)
         self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
         self.units: dict[str, bytes] = {}
@@ -188,7 +195,7 @@ class ByteBpe:
 
     def _learn_words(self, met: list[str]) -> None:
         new = [w for w in dict.fromkeys(met) if w not in self.words]
-        if len(self.words) + len(new) > _REMEMBERED:
+        if len(self.words) + len(new) > self.remembered:
             self.words = _still(self.words, met)
         short, long = [], []
         for word in new:
@@ -199,7 +206,8 @@ class ByteBpe:
             else:
                 (long if len(raw) > _LONG and self.regular else short).append((word, raw))
         for words, contract in ((short, _LEFTMOST), (long, _EVERY)):
-            for part in _portions(words):
+            # Bytes of words in one query: what it holds follows from them.
+            for part in _portions(words, self.remembered):
                 found = self._contracted([raw for _, raw in part], contract)
                 self.words.update(zip((word for word, _ in part), found))
 
@@ -215,7 +223,7 @@ class ByteBpe:
         cut = [self.unit.findall(text or "") for text in texts]
         met = {unit for units in cut for unit in units}
         new = met - self.units.keys()
-        if len(self.units) + len(new) > _REMEMBERED:
+        if len(self.units) + len(new) > self.remembered:
             self.units = _still(self.units, met)
         self._learn(list(new))
         known = self.units.__getitem__
@@ -231,7 +239,7 @@ class ByteBpe:
             cut.append([raw[a:b] for a, b in pairwise(at)])
         met = {run for runs in cut for run in runs}
         new = met - self.runs.keys()
-        if len(self.runs) + len(new) > _REMEMBERED:
+        if len(self.runs) + len(new) > self.remembered:
             self.runs = _still(self.runs, met)
         self._decode_runs([run for run in new if run])
         self.runs[b""] = b""
@@ -249,20 +257,18 @@ class ByteBpe:
             self.con.register("tokens", pa.table({"run": run, "pos": pos, "id": ids}))
             found = self.con.sql(_DECODE).to_arrow_table()
             self.con.unregister("tokens")
-            for index, text in zip(found["run"].to_pylist(), found["hex"].to_pylist(), strict=True):
-                self.runs[part[index]] = bytes.fromhex(text)
+            for index, text in zip(found["run"].to_pylist(), found["bytes"].to_pylist(), strict=True):
+                self.runs[part[index]] = text
 
 
-_workers: dict[int, ByteBpe] = {}
+_workers: dict[str, ByteBpe] = {}
 
 
-def _codec(shared) -> ByteBpe:
+def _codec(key: str, shared) -> ByteBpe:
     """This worker's codec for a broadcast vocabulary."""
-    ranks, pattern, regular = shared.value
-    key = hash((len(ranks), pattern, regular, next(iter(ranks.items()), None)))
     if key not in _workers:
         _workers.clear()
-        _workers[key] = ByteBpe(ranks, pattern, regular)
+        _workers[key] = ByteBpe(*shared.value)
     return _workers[key]
 
 
@@ -273,15 +279,20 @@ def _map(
     column: str,
     new: list[str],
     work: Callable[[ByteBpe, pa.RecordBatch], dict[str, pa.Array]],
+    remembered: int,
 ) -> DataFrame:
     clash = [name.split()[0] for name in new if name.split()[0] in rows.columns]
     rows = rows.drop(*clash)
     ranks = read_ranks(path)
     # A vocabulary has a fixed number of tokens, whatever the rows.
-    shared = rows.sparkSession.sparkContext.broadcast((ranks, pattern, is_regular(ranks)))
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (ranks, pattern, is_regular(ranks), remembered)
+    )
+
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
+        codec = _codec(key, shared)
         for block in blocks(batches, column) if new[0] != "decoded binary" else batches:
             yield append_columns(block, **work(codec, block))
 
@@ -294,7 +305,9 @@ def _ids_array(ids: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
 
 
-def encode(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def encode(
+    rows: DataFrame, path: str, pattern: str, text: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """The rows with ``ids array<int>`` and ``n_tokens long``.
 
     Null and empty texts have no ids. Columns of these names are replaced, all others
@@ -305,20 +318,24 @@ def encode(rows: DataFrame, path: str, pattern: str, text: str = "text") -> Data
         ids = codec.encode(block.column(text).to_pylist())
         return {"ids": _ids_array(ids), "n_tokens": pa.array([len(i) for i in ids], pa.int64())}
 
-    return _map(rows, path, pattern, text, ["ids array<int>", "n_tokens long"], work)
+    return _map(rows, path, pattern, text, ["ids array<int>", "n_tokens long"], work, remembered)
 
 
-def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
+def decode(
+    rows: DataFrame, path: str, pattern: str, ids: str = "ids", remembered: int = REMEMBERED
+) -> DataFrame:
     """The rows with ``decoded binary``, the bytes of their ids; null ids give no bytes."""
 
     def work(codec, block):
         given = [np.array(i or [], np.int32) for i in block.column(ids).to_pylist()]
         return {"decoded": pa.array(codec.decode(given), pa.binary())}
 
-    return _map(rows, path, pattern, ids, ["decoded binary"], work)
+    return _map(rows, path, pattern, ids, ["decoded binary"], work, remembered)
 
 
-def round_trip(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def round_trip(
+    rows: DataFrame, path: str, pattern: str, text: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """Encode, then decode the ids in the same task: both results beside the rows.
 
     Adds ``ids``, ``n_tokens`` and ``decoded`` as ``encode`` and ``decode`` do, without
@@ -334,10 +351,12 @@ def round_trip(rows: DataFrame, path: str, pattern: str, text: str = "text") ->
         }
 
     columns = ["ids array<int>", "n_tokens long", "decoded binary"]
-    return _map(rows, path, pattern, text, columns, work)
+    return _map(rows, path, pattern, text, columns, work, remembered)
 
 
-def digests(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def digests(
+    rows: DataFrame, path: str, pattern: str, text: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """Encode and decode as ``round_trip`` does, keeping only digests of the results.
 
     Adds ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas) and
@@ -355,4 +374,4 @@ def digests(rows: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
         }
 
     columns = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
-    return _map(rows, path, pattern, text, columns, work)
+    return _map(rows, path, pattern, text, columns, work, remembered)

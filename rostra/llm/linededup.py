@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostra.functions.common import let
 from rostra.llm.common import SPACES
 from rostra.llm.components import connected_components
 from rostra.sources.tables import materialize
@@ -33,25 +34,42 @@ def _normal(line: Column) -> Column:
     """Tokens of a line joined by one space, those with a digit as fields."""
     word = f"[^{SPACES}]*"
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"{word}[0-9]{word}", FIELD)).otherwise(line)
-    odd = masked.rlike("^ | $|  |[\\x09-\\x0D]")
-    return F.when(odd, F.trim(F.regexp_replace(masked, f"[{SPACES}]+", " "))).otherwise(masked)
+
+    def spaced(text):
+        odd = (
+            F.contains(text, F.lit("  "))
+            | F.startswith(text, F.lit(" "))
+            | F.endswith(text, F.lit(" "))
+            | text.rlike("[\\x09-\\x0D]")
+        )
+        return F.when(odd, F.trim(F.regexp_replace(text, f"[{SPACES}]+", " "))).otherwise(text)
+
+    return let(masked, spaced)
 
 
 def _lines(docs: DataFrame, least_tokens: int, depth: int) -> DataFrame:
     """id, content, at, leaf and a hash of the tokens, for lines that are long enough.
 
-    Lines are told apart by both hashes, 128 bits together.
+    Lines are told apart by both hashes, 128 bits together. Everything is worked out in
+    the array of lines, once per line, so that only numbers are exploded.
     """
-    lines = docs.select("id", "content", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    normal = lines.select("id", "content", "at", _normal(F.col("line")).alias("normal"))
-    gaps = F.length("normal") - F.length(F.translate("normal", " ", ""))
-    n_tokens = F.when(F.col("normal") == "", 0).otherwise(gaps + 1)
-    return normal.where(n_tokens >= least_tokens).select(
-        "id",
-        "content",
-        "at",
-        F.xxhash64(n_tokens, F.substring_index("normal", " ", depth)).alias("leaf"),
-        F.xxhash64("normal").alias("same"),
+
+    def hashed(normal):
+        gaps = F.octet_length(normal) - F.octet_length(F.replace(normal, F.lit(" "), F.lit("")))
+        return let(
+            F.when(normal == "", 0).otherwise(gaps + 1),
+            lambda n: F.struct(
+                n.alias("n"),
+                F.xxhash64(n, F.substring_index(normal, " ", depth)).alias("leaf"),
+                F.xxhash64(normal).alias("same"),
+            ),
+        )
+
+    lines = F.transform(F.split("text", "\n"), lambda line: let(_normal(line), hashed))
+    return (
+        docs.select("id", "content", F.posexplode(lines).alias("at", "line"))
+        .where(F.col("line.n") >= least_tokens)
+        .select("id", "content", "at", "line.leaf", "line.same")
     )
 
 

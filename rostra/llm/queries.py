@@ -27,7 +27,8 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     docs = documents(spark, folder).select("doc_id", "text")
-    found = bpe.digests(docs, public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
+    path = public_tokenizers.path(BPE_FILE)
+    found = bpe.digests(docs, path, public_tokenizers.PATTERN, remembered=600_000)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
