@@ -143,7 +143,7 @@ def date_best_of_sources(fx):
 
 
 def _parsed(fx) -> DataFrame:
-    return documents.parsed_documents(fx.t_metadata, fx.t_ocr)
+    return documents.parsed_documents(fx.t_metadata, fx.t_ocr, front_matter=2000)
 
 
 PARSED_COLUMNS = [
@@ -200,7 +200,7 @@ def bridge_subjects(fx):
 
 @query
 def date_candidates_rule(fx):
-    return documents.rule_date_candidates(_parsed(fx)).drop("raw_extraction")
+    return documents.rule_date_candidates(_parsed(fx), excerpt_characters=2500).drop("raw_extraction")
 
 
 @query
@@ -232,7 +232,7 @@ def text_quality_summary(fx):
 
 @query
 def date_candidates_model(fx):
-    return dates.model_date_candidates(fx.x_replies).drop("raw_extraction")
+    return dates.model_date_candidates(fx.x_replies, excerpt_characters=2500).drop("raw_extraction")
 
 
 @query

@@ -57,3 +57,8 @@ def vocabulary_rank(value: Column, *descending: str) -> Column:
     for position, word in enumerate(reversed(descending), start=1):
         rank = F.when(value == word, position).otherwise(rank)
     return rank
+
+
+def beginning(text: Column, characters: int | None) -> Column:
+    """The first characters of a text; all of it without a number."""
+    return text if characters is None else F.substring(text, 1, characters)

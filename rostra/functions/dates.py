@@ -65,7 +65,6 @@ NOTE_MONTH_ONLY = (
     "French Republican month detected, but no day was available for exact conversion."
 )
 NOTE_MORE_PRECISE = "More precise date matched metadata year."
-FRONT_MATTER_CHARACTERS = 2000
 
 # How useful a precision is for dating, and which source is trusted more.
 PRECISION_RANKS = {"day": 3, "month": 2, "year": 1, "revolutionary_month": 1}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.functions.common import date_key, hashed_key, name_key, period_label
-from rostra.functions.dates import FRONT_MATTER_CHARACTERS, best_publication_date
+from rostra.functions.common import beginning, date_key, hashed_key, name_key, period_label
+from rostra.functions.dates import best_publication_date
 from rostra.functions.metadata import parse_metadata_xml
 
 # Names of the rule-based extractor and of the "no such entry" member.
@@ -32,16 +32,18 @@ def parse_metadata(bronze_metadata: DataFrame) -> DataFrame:
     ).select("document_id", "metadata_file_path", "parsed.*")
 
 
-def parsed_documents(bronze_metadata: DataFrame, bronze_ocr_text: DataFrame) -> DataFrame:
+def parsed_documents(
+    bronze_metadata: DataFrame, bronze_ocr_text: DataFrame, front_matter: int | None = None
+) -> DataFrame:
     """Metadata with the OCR front matter, the rule-based date and its key.
 
-    Only the front matter of a text crosses the join, which reuses the exchange of the
+    ``front_matter`` is the number of characters of a text that are searched for a date,
+    all of them by default; only they cross the join, which reuses the exchange of the
     aggregate. Of several texts of a document the smallest front matter counts.
     """
-    front_matter = (
+    beginnings = (
         bronze_ocr_text.select(
-            "document_id",
-            F.substring("raw_text", 1, FRONT_MATTER_CHARACTERS).alias("ocr_front_matter"),
+            "document_id", beginning(F.col("raw_text"), front_matter).alias("ocr_front_matter")
         )
         .groupBy("document_id")
         .agg(F.min("ocr_front_matter").alias("ocr_front_matter"))
@@ -50,7 +52,7 @@ def parsed_documents(bronze_metadata: DataFrame, bronze_ocr_text: DataFrame) ->
     date = best_publication_date("publication_date_raw", "title", "ocr_front_matter")
     dated = (
         parse_metadata(bronze_metadata)
-        .join(front_matter, "document_id", "left")
+        .join(beginnings, "document_id", "left")
         .withColumns(
             {
                 "has_ocr_text": F.coalesce("has_ocr_text", F.lit(False)),
@@ -190,18 +192,19 @@ def bridge_subjects(entries: DataFrame) -> DataFrame:
 
 
 def extraction_input(date_raw: F.Column, title: F.Column, front_matter: F.Column) -> F.Column:
-    """Text given to a date extractor; also the excerpt kept with each candidate."""
+    """Text given to a date extractor; also the excerpt kept with each candidate.
+
+    The labels are fixed values: stored excerpts have them.
+    """
     return F.concat(
         F.lit("Metadata date: "), F.coalesce(date_raw, F.lit("")),
         F.lit("\nTitle: "), F.coalesce(title, F.lit("")),
         F.lit("\nOCR front matter: "),
-        F.coalesce(F.substring(front_matter, 1, FRONT_MATTER_CHARACTERS), F.lit("")),
+        F.coalesce(front_matter, F.lit("")),
     )
 
 
-# Fixed value: length of the excerpt kept with a date candidate.
-EXCERPT_CHARACTERS = 2500
-
+# Columns of a date candidate.
 CANDIDATE_COLUMNS = [
     "date_candidate_id",
     "document_id",
@@ -223,8 +226,9 @@ CANDIDATE_COLUMNS = [
 ]
 
 
-def rule_date_candidates(parsed: DataFrame) -> DataFrame:
-    """One rule-based candidate per document, in the schema all candidates share."""
+def rule_date_candidates(parsed: DataFrame, excerpt_characters: int | None = None) -> DataFrame:
+    """One rule-based candidate per document, in the schema all candidates share. The
+    excerpt kept with it is whole unless a number of characters is given."""
     excerpt = extraction_input(
         F.col("publication_date_raw"), F.col("title"), F.col("ocr_front_matter")
     )
@@ -248,7 +252,7 @@ def rule_date_candidates(parsed: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("candidate_confidence_score"),
         F.col("date_parse_notes").alias("candidate_evidence"),
         F.lit(None).cast("string").alias("raw_extraction"),
-        F.substring(excerpt, 1, EXCERPT_CHARACTERS).alias("source_text_excerpt"),
+        beginning(excerpt, excerpt_characters).alias("source_text_excerpt"),
         F.lit(True).alias("selected_for_document"),
     )
 

@@ -152,7 +152,7 @@ def with_missing_columns(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own, once.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -162,7 +162,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return current.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="rostra-")
+    folder = tempfile.mkdtemp(prefix="rostra-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def materialize(rows: DataFrame) -> DataFrame:
@@ -170,6 +172,16 @@ def materialize(rows: DataFrame) -> DataFrame:
 
     Everything built on the result sees the same rows, whichever executor is lost.
     """
-    location = f"{checkpoint_folder(rows.sparkSession)}/rostra-{uuid.uuid4().hex}"
+    location = f"{_session_folder(rows.sparkSession)}/{uuid.uuid4().hex}"
     rows.write.parquet(location)
     return rows.sparkSession.read.schema(rows.schema).parquet(location)
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/rostra-{spark.sparkContext.applicationId}"
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Remove what ``materialize`` has written in this session, once its results are stored."""
+    folder, files = _located(spark, _session_folder(spark))
+    files.delete(folder, True)

@@ -11,7 +11,7 @@ from rostra.operators.upserts import merge_insert_only, merge_update, merge_upse
 from rostra.plans import dates, stance
 from rostra.plans.quality import METRICS, quality_metrics
 from rostra.sources import files, lexicon, manifest
-from rostra.sources.tables import Tables, materialize, with_missing_columns, write_table
+from rostra.sources.tables import Tables, clear_materialized, materialize, with_missing_columns, write_table
 from rostra.streaming.resumable import current_audit, publish_mentions, score_next_batch, scored_mentions
 
 
@@ -171,6 +171,10 @@ def test_tables(spark, tmp_path):
     assert wider.dtypes == [("id", "bigint"), ("c", "double")]
     kept = materialize(spark.range(4))
     assert kept.count() == 4 and "rostra-" in kept.inputFiles()[0]
+    clear_materialized(spark)
+    with pytest.raises(Exception, match="[Ff]ile"):
+        materialize(spark.range(1))
+        kept.count()
 
 
 def test_resumable_scoring(spark, tmp_path):
