@@ -97,14 +97,14 @@ def fit(
     sample_rows: int = 2000,
     centroids: int = 4,
     dimensions: int = DIMENSIONS,
-    strictness: float = 0.5,
+    strictness: float = 0.25,
 ) -> Model:
     """Learn from the rows whose text and language are not null.
 
     Document frequencies are counted over all of them. The centroids are fitted on at
     most ``sample_rows`` rows, the same number for each language, picked by a hash of
     ``order`` and the text, so that reruns agree. A text is rejected when its best
-    cosine is less than ``strictness`` times the least but one per cent of the sample's.
+    cosine is less than ``strictness`` times what one per cent of the sample fall short of.
     Without any row, the model has no language and rejects every text.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
