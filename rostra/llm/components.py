@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostra.sources.tables import materialize
 
+# After the first round, so many times more members of a bucket lead in each.
+MORE_LEADERS = 32
+
 
 def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for every linked node.
@@ -49,3 +54,51 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
         raise RuntimeError(f"links still change after {rounds} rounds")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component")).distinct()
+
+
+def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node`` and ``component`` of nodes that are similar to another of their bucket.
+
+    ``members`` has distinct ``bucket`` and ``node`` with the ``size`` of the node;
+    ``similar`` gets pairs ``a``, ``b`` with ``a_size`` and ``b_size`` and returns ``a`` and
+    ``b`` of those that are linked. Members are compared with one leader of their bucket,
+    then with 32, and so on, until the bucket is one component or each member has led: every
+    link between two components is found, though not every link inside of one.
+    """
+    links = members.select(F.col("node").alias("a"), F.col("node").alias("b")).where(F.lit(False))
+    groups = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    key, leaders = F.xxhash64("node"), 1
+    while True:
+        grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        grouped = grouped.drop("component")
+        heads = (
+            grouped.groupBy("bucket")
+            .agg(
+                F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("n"),
+                F.min(F.struct(key.alias("key"), "node")).alias("head"),
+            )
+            .where("low < high")
+            .select("bucket", "n", F.col("head.node").alias("head"))
+        )
+        leads = (F.col("node") == F.col("head")) | (F.pmod(key, F.col("n")) < leaders - 1)
+        members = materialize(grouped.join(heads, "bucket").withColumn("leads", leads).drop("n", "head"))
+        if members.isEmpty():
+            return groups
+        first = members.where("leads").select(
+            "bucket", F.struct("node", "size").alias("of"), F.col("group").alias("of_group")
+        )
+        pairs = (
+            members.withColumn("own", F.struct("node", "size"))
+            .join(first, "bucket")
+            .where(F.col("group") != F.col("of_group"))
+            .select(F.least("own", "of").alias("a"), F.greatest("own", "of").alias("b"))
+            .distinct()
+            .select("a.node", "b.node", "a.size", "b.size")
+            .toDF("a", "b", "a_size", "b_size")
+        )
+        found = materialize(similar(pairs))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            groups = materialize(connected_components(links))
+        members = members.where(~F.col("leads")).select("bucket", "node", "size")
+        leaders *= MORE_LEADERS

@@ -40,25 +40,29 @@ def _bit_majority(hashes: np.ndarray) -> int:
     return int(((ones * 2 > len(hashes)).astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum())
 
 
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of a text: words of the lower-cased (A-Z) text, hashed ``shingle`` at a time."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the words of the lower-cased (A-Z) text, ``shingle`` at a time; of fewer words, one."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     whole = b" ".join(words)
     if len(words) <= shingle:
-        return xxh64_intdigest(whole, SEED)
+        return np.array([xxh64_intdigest(whole, SEED)], np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths)
     starts = (ends - lengths).tolist()
     ends = (ends - 1).tolist()
     n = len(words) - shingle + 1
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxh64_intdigest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :])), np.uint64, n
     )
-    return _bit_majority(hashes)
+
+
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    """SimHash of a text, by the majority of its shingles' hashes; 0 without words."""
+    return _bit_majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -216,10 +220,8 @@ def _hex(bits: Column) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One row of each component: that of the smallest id; of several rows with it, the one
-    whose text has the smallest hash, and of equal ones any."""
-    found = near_duplicates(docs, doc_id, text, **how)
+def keep_first(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of each ``group`` of ``doc_id`` and ``content``: the smallest id, then hash."""
     # A null id is the smallest of a component only where all are null.
     first = (
         found.groupBy("group")
@@ -233,3 +235,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
         .dropDuplicates(["_kept"])
         .drop("_kept")
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row of each component: that of the smallest id; of several rows with it, the one
+    whose text has the smallest hash, and of equal ones any."""
+    return keep_first(docs, near_duplicates(docs, doc_id, text, **how), doc_id, text)
