@@ -7,8 +7,9 @@ lines of a template differ, it has a field of variable content. Lines whose temp
 occurs in two or more documents are dropped, except in the first of them.
 
 No leaf is ever gathered. Lines that are similar enough to share a template agree in one
-of a few segments, so a line is compared with the most frequent line of the leaf that has
-the same segment, and templates are the components of what was similar.
+of a few segments, so a line is compared with lines of the leaf that have the same
+segment: with one of them, then with more, until all of them are linked or each has been
+compared with all others. Templates are the components of what was similar.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rostra.functions.common import let
 from rostra.llm.common import SPACES
-from rostra.llm.components import connected_components
+from rostra.llm.components import linked_in_buckets
 from rostra.sources.tables import materialize
 
 # Leading tokens that choose a branch below the token count.
@@ -74,7 +75,7 @@ def _lines(docs: DataFrame, least_tokens: int, depth: int) -> DataFrame:
 
 
 def _similar(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """Links ``a``, ``b`` of lines (``node``, ``leaf``, ``n``, ``tokens``) that share a template."""
+    """``node`` and ``component`` of lines (``node``, ``leaf``, ``tokens``) that share a template."""
     size = F.size("tokens")
     # So many tokens may differ; with one segment more than that, one has no difference.
     allowed = F.floor(F.lit(1 - similarity) * size + 1e-9).cast("int")
@@ -85,31 +86,30 @@ def _similar(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
 
     segment = F.transform(
         F.sequence(F.lit(0), F.col("allowed")),
-        lambda i: F.xxhash64(i, F.slice(F.col("tokens"), start(i) + depth + 1, start(i + 1) - start(i))),
+        lambda i: F.xxhash64("leaf", i, F.slice(F.col("tokens"), start(i) + depth + 1, start(i + 1) - start(i))),
     )
     segments = (
         lines.withColumns({"allowed": allowed, "tail": tail})
         .where("tail > 0")
-        .select("leaf", "node", "n", F.explode(segment).alias("segment"))
-    )
-    frequent = segments.groupBy("leaf", "segment").agg(
-        F.max(F.struct("n", "node")).alias("top"), F.min("node").alias("low"), F.max("node").alias("high")
-    )
-    pairs = (
-        segments.join(frequent.where("low < high"), ["leaf", "segment"])
-        .select(F.col("node").alias("a"), F.col("top.node").alias("b"))
-        .where("a <> b")
-        .distinct()
-    )
-    of_a = lines.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
-    of_b = lines.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
-    differing = F.size(F.filter(F.zip_with("a_tokens", "b_tokens", lambda x, y: x != y), lambda d: d))
-    return (
-        pairs.join(of_a, "a")
-        .join(of_b, "b")
-        .where(differing <= F.floor(F.lit(1 - similarity) * F.size("a_tokens") + 1e-9))
-        .select("a", "b")
-    )
+        .select("node", size.alias("size"), F.explode(segment).alias("bucket"))
+    )
+    shared = segments.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    members = materialize(segments.join(shared.select("bucket"), "bucket", "left_semi").distinct())
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        of_a = lines.select(F.col("node").alias("a"), F.col("leaf").alias("a_leaf"), F.col("tokens").alias("a_tokens"))
+        of_b = lines.select(F.col("node").alias("b"), F.col("leaf").alias("b_leaf"), F.col("tokens").alias("b_tokens"))
+        differing = F.size(F.filter(F.zip_with("a_tokens", "b_tokens", lambda x, y: x != y), lambda d: d))
+        return (
+            pairs.join(of_a, "a")
+            .join(of_b, "b")
+            .where("a_leaf = b_leaf")
+            .where(differing <= F.floor(F.lit(1 - similarity) * F.size("a_tokens") + 1e-9))
+            .select("a", "b")
+            .distinct()
+        )
+
+    return linked_in_buckets(members, linked)
 
 
 def recurring_lines(
@@ -150,7 +150,7 @@ def recurring_lines(
         .withColumn("node", F.xxhash64("leaf", "same"))
         .drop("at")
     )
-    groups = connected_components(_similar(distinct, depth, similarity))
+    groups = _similar(distinct, depth, similarity)
     grouped = materialize(
         distinct.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
     )
