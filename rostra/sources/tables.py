@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,6 @@ from pyspark.sql import types as T
 
 VERSION = "version="
 PUBLISHED = "_PUBLISHED"
-CLAIMED = "_CLAIMED"
 
 
 def write_table(
@@ -39,8 +40,13 @@ def write_table(
     old, _ = _located(spark, f"{beside}.old")
     if files.exists(target) and not files.rename(target, old):
         raise RuntimeError(f"{path} cannot be replaced")
-    if not files.rename(new, target):
-        raise RuntimeError(f"{path} cannot be written")
+    try:
+        if not files.rename(new, target):
+            raise RuntimeError(f"{path} cannot be written")
+    except Exception:
+        if files.exists(old):
+            files.rename(old, target)
+        raise
     files.delete(old, True)
     spark.catalog.refreshByPath(path)
     return written
@@ -79,13 +85,19 @@ class Tables:
     def _versions(self, name: str) -> list[tuple[int, str, bool]]:
         """Published versions in order: number, folder, and whether it adds to the one before.
 
-        A version is published by an empty file named after all three, so one listing
-        finds them.
+        A version is published by a file named by its number that tells the other two. It
+        comes into being whole, by a rename.
         """
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString
         found = []
         for leaf in self._entries(name, PUBLISHED):
-            number, kind, folder = leaf.split("-", 2)
-            found.append((int(number), folder, kind == "added"))
+            path, files = _located(self.spark, f"{self.root}/{name}/{PUBLISHED}/{leaf}")
+            stream = files.open(path)
+            try:
+                kind, folder = text(stream, "UTF-8").split("-", 1)
+            finally:
+                stream.close()
+            found.append((int(leaf), folder, kind == "added"))
         return sorted(found)
 
     def exists(self, name: str) -> bool:
@@ -110,11 +122,16 @@ class Tables:
         number = max((n for n, _, _ in self._versions(name)), default=0) + 1
         folder = f"{VERSION}{number:06d}-{uuid.uuid4().hex}"
         write_table(rows, f"{self.root}/{name}/{folder}", require_rows)
-        claim, files = _located(self.spark, f"{self.root}/{name}/{CLAIMED}/{number:06d}")
-        # Creating without overwriting succeeds for one writer only.
-        files.create(claim, False).close()
-        marker, _ = _located(self.spark, f"{self.root}/{name}/{PUBLISHED}/{number:06d}-{kind}-{folder}")
-        files.create(marker, False).close()
+        # The marker is named by its number alone and comes into being by one rename, which
+        # succeeds for one writer only: a run that breaks off before it leaves nothing that counts.
+        beside, files = _located(self.spark, f"{self.root}/{name}/{folder}/_marker")
+        out = files.create(beside, False)
+        out.write(bytearray(f"{kind}-{folder}".encode()))
+        out.close()
+        marker, _ = _located(self.spark, f"{self.root}/{name}/{PUBLISHED}/{number:06d}")
+        files.mkdirs(marker.getParent())
+        if files.exists(marker) or not files.rename(beside, marker):
+            raise FileExistsError(f"version {number} of {name} exists: another writer published it")
         return self.read(name)
 
     def write(self, name: str, rows: DataFrame, require_rows: bool = True) -> DataFrame:
@@ -127,7 +144,7 @@ class Tables:
 
     def expire(self, name: str) -> int:
         """Delete the folders of versions that the current one does not need; returns how many."""
-        keep = {*self._current(name), PUBLISHED, CLAIMED}
+        keep = {*self._current(name), PUBLISHED}
         published = {folder for _, folder, _ in self._versions(name)}
         gone = [leaf for leaf in self._entries(name, "") if leaf in published - keep]
         for leaf in gone:
@@ -167,14 +184,55 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders that each open ``released`` block has written, the innermost last.
+_open_blocks: list[list[str]] = []
+
+
 def materialize(rows: DataFrame) -> DataFrame:
     """Compute once, write to the shared folder and read back.
 
     Everything built on the result sees the same rows, whichever executor is lost.
     """
     location = f"{_session_folder(rows.sparkSession)}/{uuid.uuid4().hex}"
+    if _open_blocks:
+        _open_blocks[-1].append(location)
     rows.write.parquet(location)
-    return rows.sparkSession.read.schema(rows.schema).parquet(location)
+    written = rows.sparkSession.read.schema(rows.schema).parquet(location)
+    written._rostra_location = location
+    return written
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for these tables, which nothing reads any more."""
+    for rows in tables:
+        folder, files = _located(rows.sparkSession, rows._rostra_location)
+        files.delete(folder, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose ``materialize`` folders are removed at its end.
+
+    Gives a function that writes a result to outlive the block: ``keep(rows)`` belongs
+    to the enclosing block, if there is one.
+    """
+    mine: list[str] = []
+    _open_blocks.append(mine)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        _open_blocks.remove(mine)
+        try:
+            return materialize(rows)
+        finally:
+            _open_blocks.append(mine)
+
+    try:
+        yield keep
+    finally:
+        _open_blocks.remove(mine)
+        for location in mine:
+            folder, files = _located(spark, location)
+            files.delete(folder, True)
 
 
 def _session_folder(spark: SparkSession) -> str:

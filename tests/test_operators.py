@@ -11,7 +11,10 @@ from rostra.operators.upserts import merge_insert_only, merge_update, merge_upse
 from rostra.plans import dates, stance
 from rostra.plans.quality import METRICS, quality_metrics
 from rostra.sources import files, lexicon, manifest
-from rostra.sources.tables import Tables, clear_materialized, materialize, with_missing_columns, write_table
+from rostra.sources import tables as tables_module
+from rostra.sources.tables import (
+    Tables, clear_materialized, materialize, release, released, with_missing_columns, write_table,
+)
 from rostra.streaming.resumable import current_audit, publish_mentions, score_next_batch, scored_mentions
 
 
@@ -271,6 +274,68 @@ def test_two_writers_do_not_share_a_version(spark, tmp_path):
     assert sorted(r.id for r in one.read("t").collect()) == [0, 1, 5, 6, 7]
 
 
+class Failing:
+    """A file system whose renames to a target that ends in ``name`` fail ``times`` times."""
+
+    def __init__(self, files, name, times=1):
+        self.files, self.name, self.times = files, name, times
+
+    def __getattr__(self, attribute):
+        return getattr(self.files, attribute)
+
+    def rename(self, source, target):
+        if self.times and target.getName() == self.name:
+            self.times -= 1
+            raise OSError("broken off")
+        return self.files.rename(source, target)
+
+
+def test_a_crash_before_publishing_leaves_nothing_that_counts(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    tables.write("t", spark.range(2))
+    located = tables_module._located
+    with monkeypatch.context() as broken:
+        broken.setattr(tables_module, "_located", lambda s, p: (lambda path, files: (path, Failing(files, "000002")))(*located(s, p)))
+        with pytest.raises(OSError, match="broken off"):
+            tables.append("t", spark.range(7, 9))
+    assert tables.read("t").count() == 2
+    tables.append("t", spark.range(5, 6))
+    assert sorted(r.id for r in tables.read("t").collect()) == [0, 1, 5]
+    assert [number for number, _, _ in tables._versions("t")] == [1, 2]
+
+
+def test_a_crash_between_renames_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_table(spark.range(3), path)
+    located = tables_module._located
+    with monkeypatch.context() as broken:
+        once = {}
+        broken.setattr(
+            tables_module, "_located",
+            lambda s, p: (lambda at, files: (at, once.setdefault("files", Failing(files, "t"))))(*located(s, p)),
+        )
+        with pytest.raises(OSError, match="broken off"):
+            write_table(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3
+    assert write_table(spark.range(4), path) == 4
+
+
+def test_released_tables(spark):
+    with released(spark) as keep:
+        first = materialize(spark.range(3))
+        with released(spark) as inner:
+            kept = inner(first.where("id > 0"))
+            gone = materialize(spark.range(9))
+        result = keep(kept.where("id > 1"))
+    assert [r.id for r in result.collect()] == [2]
+    for table in (first, gone, kept):
+        with pytest.raises(Exception, match="exist"):
+            spark.read.parquet(table._rostra_location)
+    release(result)
+    with pytest.raises(Exception, match="exist"):
+        spark.read.parquet(result._rostra_location)
+
+
 def test_empty_files_are_rows(spark, tmp_path):
     for name, text in (("a b+1", "x"), ("ü", ""), ("c%20", "")):
         (tmp_path / f"{name}_djvu.txt").write_text(text)
