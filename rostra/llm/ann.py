@@ -134,8 +134,10 @@ def search(
     smaller id. Vectors that are null, zero, or hold a null or non-finite component take
     no part, nor do rows without an id and vectors of another length than most (of
     several lengths as frequent, the shortest). Rows that share an id are candidates of
-    each other's queries never, of others each. Fewer candidates than ``k`` give fewer
-    rows; an empty table gives none.
+    each other's queries never, of others each; rows that agree in id and vector count
+    once, as queries and as candidates, and queries that share an id alone are one, with
+    the nearest rows of all. Fewer candidates than ``k`` give fewer rows; an empty table
+    gives none.
     """
     spark = rows.sparkSession
     given = rows.select(
@@ -178,7 +180,9 @@ def search(
     dealt = materialize(given.withColumn("asks", F.coalesce("asks", F.lit(False))).mapInArrow(
         deal, "id long, v array<double>, own int, probed array<int>"
     ))
-    asked = dealt.where(F.col("probed").isNotNull()).select("id", "v", F.explode("probed").alias("own"))
+    # A query that is given twice asks once.
+    asked = materialize(dealt.where(F.col("probed").isNotNull()).dropDuplicates(["id", "v"]))
+    asked = asked.select("id", "v", F.explode("probed").alias("own"))
 
     def parts(table: DataFrame, size: int) -> dict[int, int]:
         """Parts of each list: one row per list, and the lists are bounded by the sample."""
@@ -198,15 +202,17 @@ def search(
         return F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")))
 
     # Each part of a list's vectors meets each part of its queries in one bounded group.
-    base = dealt.select("own", "id", "v", part(lookup(vector_parts)).alias("vp"), every(lookup(query_parts)).alias("qp"))
+    base = dealt.select("own", "id", "v", F.xxhash64("id", "v").alias("row"), part(lookup(vector_parts)).alias("vp"), every(lookup(query_parts)).alias("qp"))
     asked = asked.select("own", "id", "v", part(lookup(query_parts)).alias("qp"), every(lookup(vector_parts)).alias("vp"))
 
     def scan(queries: pa.Table, vectors: pa.Table) -> pa.Table:
         index = shared.value
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if queries.num_rows and vectors.num_rows:
-            ids = vectors["id"].to_numpy()
-            exact, lengths = _scaled(np.array(vectors["v"].combine_chunks().flatten()).reshape(-1, width))
+            # Copies of a row share its id, and so its part; they count once.
+            _, once = np.unique(vectors["row"].to_numpy(), return_index=True)
+            ids = vectors["id"].to_numpy()[once]
+            exact, lengths = _scaled(np.array(vectors["v"].combine_chunks().flatten()).reshape(-1, width)[once])
             rotated = (exact / lengths[:, None] @ index.rotation).astype(np.float32)
             asking, sizes = _scaled(np.array(queries["v"].combine_chunks().flatten()).reshape(-1, width))
             turned = (asking / sizes[:, None] @ index.rotation).astype(np.float32)

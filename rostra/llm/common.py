@@ -36,6 +36,11 @@ def schema_with(rows: DataFrame, *columns: str) -> str:
     return ", ".join([*own, *columns])
 
 
+def packed(rows: DataFrame) -> Column:
+    """All columns as one struct, so that columns beside it cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{name.replace('`', '``')}`") for name in rows.columns])
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_CHARS
 ) -> Iterator[pa.RecordBatch]:

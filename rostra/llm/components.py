@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.sources.tables import materialize
+from rostra.sources.tables import materialize, release
 
 # After the first round, so many times more members of a bucket lead in each.
 MORE_LEADERS = 32
@@ -18,61 +18,73 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
 
     ``links`` has columns ``a`` and ``b``, not null; direction, repetition and loops do
     not matter. Large-star and small-star steps alternate: each links the neighbours of
-    a node to the smallest of them, until no link changes. Every step is an aggregate
-    and an equi-join whose result is written to the shared folder; a node with very
-    many neighbours is split by the join, never gathered.
+    a node to the smallest of them, until every node hangs from the root of a star. Every
+    step is an aggregate and an equi-join whose result is written to the shared folder,
+    and released when the next one is there; a node with very many neighbours is split
+    by the join, never gathered. The links of the result stay in the shared folder.
     """
     links = materialize(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    seen = None
     for _ in range(rounds):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        # Large star: every larger neighbour goes to the least one.
-        large = (
-            both.where("b > a")
-            .join(least, "a")
-            .select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-        large = materialize(large)
-        # Small star: the smaller neighbours and the node itself go to the least of them.
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        links = materialize(
-            small.unionByName(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
-        )
-        state = links.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if state == seen:
+        if _are_stars(links):
             break
-        seen = state
+        large = materialize(_large_star(links))
+        release(links)
+        links = materialize(_small_star(large))
+        release(large)
     else:
         raise RuntimeError(f"links still change after {rounds} rounds")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("node"), "component")).distinct()
+    return stars.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node is the larger end of one link or the smaller end of any number, not both."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    both = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return both.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node goes to the least one, or to the node."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    return (
+        both.where("b > a")
+        .join(least, "a")
+        .select(F.col("b").alias("a"), F.col("least").alias("b"))
+        .where("a <> b")
+        .distinct()
+    )
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """The smaller neighbours of a node and the node itself go to the least of them."""
+    least = links.groupBy("a").agg(F.min("b").alias("least"))
+    small = links.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return small.unionByName(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
 
 
 def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node`` and ``component`` of nodes that are similar to another of their bucket.
 
     ``members`` has distinct ``bucket`` and ``node`` with the ``size`` of the node;
-    ``similar`` gets pairs ``a``, ``b`` with ``a_size`` and ``b_size`` and returns ``a`` and
-    ``b`` of those that are linked. Members are compared with one leader of their bucket,
-    then with 32, and so on, until the bucket is one component or each member has led: every
-    link between two components is found, though not every link inside of one.
+    ``similar`` gets pairs ``a``, ``b`` with ``a_size``, ``b_size`` and the groups ``a_group``,
+    ``b_group`` they are known to be in, and returns those rows that are linked. Members are
+    compared with one leader of their bucket, then with 32, and so on, until the bucket is
+    one component or each member has led: every link between two components is found,
+    though not every link inside of one. Between rounds a component is one group, so that
+    later rounds only link groups.
     """
-    links = members.select(F.col("node").alias("a"), F.col("node").alias("b")).where(F.lit(False))
-    groups = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     key, leaders = F.xxhash64("node"), 1
+    groups = None
+    members = materialize(members.select("bucket", "node", "size", F.col("node").alias("group")))
     while True:
-        grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-        grouped = grouped.drop("component")
         heads = (
-            grouped.groupBy("bucket")
+            members.groupBy("bucket")
             .agg(
                 F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("n"),
                 F.min(F.struct(key.alias("key"), "node")).alias("head"),
@@ -81,24 +93,47 @@ def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFra
             .select("bucket", "n", F.col("head.node").alias("head"))
         )
         leads = (F.col("node") == F.col("head")) | (F.pmod(key, F.col("n")) < leaders - 1)
-        members = materialize(grouped.join(heads, "bucket").withColumn("leads", leads).drop("n", "head"))
-        if members.isEmpty():
-            return groups
-        first = members.where("leads").select(
-            "bucket", F.struct("node", "size").alias("of"), F.col("group").alias("of_group")
+        open_ones = materialize(members.join(heads, "bucket").withColumn("leads", leads).drop("n", "head"))
+        release(members)
+        if open_ones.isEmpty():
+            release(open_ones)
+            break
+        first = open_ones.where("leads").select(
+            "bucket", F.struct(key.alias("key"), "node", "size", "group").alias("of"), F.col("group").alias("of_group")
         )
         pairs = (
-            members.withColumn("own", F.struct("node", "size"))
+            open_ones.withColumn("own", F.struct(key.alias("key"), "node", "size", "group"))
             .join(first, "bucket")
             .where(F.col("group") != F.col("of_group"))
-            .select(F.least("own", "of").alias("a"), F.greatest("own", "of").alias("b"))
+            # The first leader has the least key of its bucket, so it is ``b``.
+            .select(F.greatest("own", "of").alias("a"), F.least("own", "of").alias("b"))
             .distinct()
-            .select("a.node", "b.node", "a.size", "b.size")
-            .toDF("a", "b", "a_size", "b_size")
+            .select("a.node", "b.node", "a.size", "b.size", "a.group", "b.group")
+            .toDF("a", "b", "a_size", "b_size", "a_group", "b_group")
         )
-        found = materialize(similar(pairs))
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            groups = materialize(connected_components(links))
-        members = members.where(~F.col("leads")).select("bucket", "node", "size")
+        found = similar(pairs).select(F.col("a_group").alias("a"), F.col("b_group").alias("b"))
+        merged = connected_components(found).withColumnsRenamed({"node": "group", "component": "into"})
+        before, groups = groups, materialize(
+            merged.toDF("node", "component") if groups is None else _merged(groups, merged)
+        )
+        if before is not None:
+            release(before)
+        members = materialize(
+            open_ones.where(~F.col("leads"))
+            .join(merged, "group", "left")
+            .select("bucket", "node", "size", F.coalesce("into", "group").alias("group"))
+        )
+        release(open_ones)
         leaders *= MORE_LEADERS
+    if groups is None:
+        return members.select("node", F.col("node").alias("component")).limit(0)
+    return groups
+
+
+def _merged(groups: DataFrame, merged: DataFrame) -> DataFrame:
+    """Groups of nodes after some groups went into others."""
+    moved = groups.join(merged.withColumnRenamed("group", "component"), "component", "left")
+    old = moved.select("node", F.coalesce("into", "component").alias("component"))
+    # A node that was its own group so far is not among the groups.
+    new = merged.join(groups.select(F.col("node").alias("group")), "group", "left_anti")
+    return old.unionByName(new.select(F.col("group").alias("node"), F.col("into").alias("component")))

@@ -68,7 +68,9 @@ class DigestIndex:
         new = groups.join(self.read().hint("merge"), "digest", "left_anti")
         (
             new.select("digest", F.col("id").alias("keep_id"), F.col("chars").alias("keep_chars"))
-            .repartition(self.buckets, "digest")
+            # By the hash that buckets go by: a bucket lies in one task, and is one file,
+            # whatever the number of partitions.
+            .repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
             .write.mode("append")
             .insertInto(self.table)
         )

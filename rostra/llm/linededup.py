@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.functions.common import let
-from rostra.llm.common import SPACES
+from rostra.llm.common import SPACES, packed
 from rostra.llm.components import linked_in_buckets
 from rostra.sources.tables import materialize
 
@@ -105,7 +105,7 @@ def _similar(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
             .join(of_b, "b")
             .where("a_leaf = b_leaf")
             .where(differing <= F.floor(F.lit(1 - similarity) * F.size("a_tokens") + 1e-9))
-            .select("a", "b")
+            .select(*pairs.columns)
             .distinct()
         )
 
@@ -208,20 +208,20 @@ def drop_recurring_lines(
         least_tokens,
         similarity,
     )
-    gone = drops.groupBy(F.col("id").alias("_id"), F.col("content").alias("_content")).agg(
-        F.collect_set("at").alias("_gone")
-    )
+    gone = drops.groupBy("id", "content").agg(F.collect_set("at").alias("gone"))
     # The lines are cut below the join, so that they are a column and not cut once per line.
-    others = [F.col(f"`{name}`") for name in docs.columns if name != text]
     cut = docs.select(
-        F.col(doc_id).alias("_id"), content.alias("_content"), F.split(F.col(text), "\n").alias("_cut"), *others
+        F.col(doc_id).alias("id"),
+        content.alias("content"),
+        F.split(F.col(text), "\n").alias("cut"),
+        packed(docs.drop(text)).alias("row"),
+    )
+    kept = F.array_except(F.sequence(F.lit(0), F.size("cut") - 1), F.col("gone"))
+    rest = F.array_join(F.transform(kept, lambda i: F.get("cut", i)), "\n")
+    lost = F.col("gone").isNotNull() & F.col("cut").isNotNull()
+    whole = F.when(lost, rest).otherwise(F.array_join("cut", "\n"))
+    return cut.join(gone, ["id", "content"], "left").select(
+        *[(whole if name == text else F.col(f"row.`{name}`")).alias(name) for name in docs.columns],
+        F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(lost, F.size("gone")).otherwise(0).cast("long").alias("n_dropped"),
     )
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_cut") - 1), F.col("_gone"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get("_cut", i)), "\n")
-    lost = F.col("_gone").isNotNull() & F.col("_cut").isNotNull()
-    joined = cut.join(gone, ["_id", "_content"], "left").withColumns({
-        text: F.when(lost, rest).otherwise(F.array_join("_cut", "\n")),
-        "n_lines": F.coalesce(F.size("_cut"), F.lit(0)).cast("long"),
-        "n_dropped": F.when(lost, F.size("_gone")).otherwise(0).cast("long"),
-    })
-    return joined.select(*[f"`{name}`" for name in docs.columns], "n_lines", "n_dropped")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostra.llm.common import n_words
+from rostra.llm.common import n_words, packed
 from rostra.sources.tables import materialize
 
 # Fixed values of the production mix: weights of the sources in the order of their names,
@@ -160,28 +160,29 @@ def mix(
     )
     below = _thresholds(narrow, budgets.where("budget > 0").select("source", "budget"))
     plan = materialize(
-        budgets.join(below.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")), "left").select(
-            F.col("source").alias("_of"),
-            "source_size",
-            "target",
-            F.col("whole").alias("_whole"),
-            F.coalesce("below", F.lit(0)).alias("_below"),
+        budgets.join(below.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").select(
+            F.col("source").alias("of"), "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below")
         )
     )
     copies = F.when(
-        F.col("source_size") > 0, F.col("_whole") + (place(F.col(doc_id)) < F.col("_below")).cast("long")
+        F.col("source_size") > 0, F.col("whole") + (F.col("place") < F.col("below")).cast("long")
     ).otherwise(F.lit(0).cast("long"))
     return (
-        docs.withColumn("size", n_words(F.col(text)))
-        .join(plan, F.col(source).cast("string").eqNullSafe(F.col("_of")), "left")
+        docs.select(
+            packed(docs).alias("row"),
+            n_words(F.col(text)).alias("size"),
+            F.col(source).cast("string").alias("own"),
+            place(F.col(doc_id)).alias("place"),
+        )
+        .join(plan, F.col("own").eqNullSafe(F.col("of")), "left")
         .withColumn("copies", copies)
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_of", "_whole", "_below")
-        .select(*[f"`{name}`" for name in docs.columns], *new)
+        .select("row.*", *new)
     )
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Every row of a mix as often as it is taken, without the columns that ``mix`` added."""
-    rows = mixed.where("copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return rows.drop("_copy", "size", "source_size", "target", "copies", "taken")
+    each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    rows = packed(mixed.drop("size", "source_size", "target", "copies", "taken"))
+    return mixed.where("copies > 0").select(rows.alias("row"), each).select("row.*")

@@ -107,7 +107,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     both = F.size(F.array_intersect("of_a", "of_b"))
     enough = both + 1e-9 >= (F.size("of_a") + F.size("of_b") - both) * F.lit(similarity)
     near = F.least("a_size", "b_size") + 1e-9 >= F.greatest("a_size", "b_size") * F.lit(similarity)
-    return pairs.where(near).join(a, "a").join(b, "b").where(enough).select("a", "b")
+    return pairs.where(near).join(a, "a").join(b, "b").where(enough).select(*pairs.columns)
 
 
 def near_duplicates(

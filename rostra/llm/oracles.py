@@ -56,4 +56,26 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
-ORACLES = {"op5_exact_dedup": OP5, "op7_mixing": OP7}
+OP11 = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLES = {"op11_hard_negatives": OP11, "op5_exact_dedup": OP5, "op7_mixing": OP7}

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rostra.llm import ann, bpe, ctw, exactdedup, langid, linededup, mixing, simhash, tokencount, urlfilter
+from rostra.llm import (
+    ann, bpe, ctw, exactdedup, hardnegatives, langid, linededup, minhash, mixing, simhash,
+    tokencount, urlfilter, whitening,
+)
 from rostra.llm.common import ship, training
-from rostra.sources.tables import checkpoint_folder
+from rostra.sources.tables import checkpoint_folder, materialize
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -95,6 +98,44 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten negatives for each positive of every hundredth vector."""
+    ship(spark)
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the first eight components, one row for each."""
+    ship(spark)
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    columns = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    model = whitening.fit(rows)
+    if model is None:
+        return spark.createDataFrame([], columns)
+    found = materialize(whitening.whiten(rows, model).select("vec_id", "whitened", "deviation"))
+    count = model.count()
+    shares = F.array(*[F.lit(float(e / model.total)) for e in model.values[:count]]).cast("array<double>")
+    return found.select(
+        "vec_id", F.posexplode("whitened").alias("at", "white"), F.expr("try_cast(deviation AS long)").alias("deviation")
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        F.col("white").alias("whitened"),
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(whitening.identity_error(found, count)).alias("identity_error"),
+    )
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles and component of every document."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return minhash.near_duplicates(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_bpe": op1_bpe,
@@ -107,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filter": op9_url_filter,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_minhash": op13_minhash,
 }

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import append_columns, blocks, schema_with
+from rostra.llm.common import append_columns, blocks, packed, schema_with
 from rostra.llm.components import connected_components
 from rostra.sources.tables import materialize
 
@@ -226,14 +226,14 @@ def keep_first(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> Dat
     first = (
         found.groupBy("group")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("content"))).alias("best"))
-        .select(F.struct(F.col("best.doc_id").alias("id"), F.col("best.content").alias("content")).alias("_kept"))
+        .select(F.struct(F.col("best.doc_id").alias("id"), F.col("best.content").alias("content")).alias("kept"))
     )
     kept = F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("content"))
     return (
-        docs.withColumn("_kept", kept)
-        .join(first, "_kept", "left_semi")
-        .dropDuplicates(["_kept"])
-        .drop("_kept")
+        docs.select(packed(docs).alias("row"), kept.alias("kept"))
+        .join(first, "kept", "left_semi")
+        .dropDuplicates(["kept"])
+        .select("row.*")
     )
 
 

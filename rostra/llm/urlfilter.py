@@ -181,9 +181,9 @@ def judge(
     new = ["host", "path", "rule", "verdict", "tokens", "log_odds"]
     pages = pages.drop(*new)
     parsed = pages.withColumns({"host": host(F.col(url)), "path": path(F.col(url))})
-    ruled = parsed.withColumn("_fit", _longest_fit(rules)).withColumns(
-        {"rule": F.col("_fit.rule"), "verdict": F.col("_fit.verdict")}
-    ).drop("_fit")
+    ruled = parsed.withColumn("rule", _longest_fit(rules)).withColumns(
+        {"verdict": F.col("rule.verdict"), "rule": F.col("rule.rule")}
+    )
     cut = materialize(with_tokens(ruled, word_scores(texts, text)))
     model = fit(cut.where(F.col("verdict").isNotNull()).select("tokens", "verdict"))
     # The tokens are bounded in number, see ``TOKENS``.

@@ -2,9 +2,7 @@
 
 import random
 
-import corpus_pipeline
 from plain import ODD_TEXTS, components, lower, words
-from pyspark.sql import functions as F
 
 from rostra.llm import neardedup
 
@@ -54,19 +52,3 @@ def test_every_pair_of_similarity_is_linked(spark):
     assert {r.doc_id: least[r.group] for r in found} == group
     kept = neardedup.keep_one(frame.unionByName(frame.limit(40)))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
-
-
-def test_the_stage_drops_near_copies(spark):
-    """400 words with four edits: about 0.9 in shingles of five, mostly over four bits apart."""
-    pick = random.Random(5)
-    docs = []
-    for i in range(60):
-        base = [f"w{pick.randrange(10**6)}" for _ in range(400)]
-        for k in range(2):
-            for at in pick.sample(range(400), 4 * k):
-                base[at] = f"x{pick.randrange(10**6)}"
-            docs.append((2 * i + k, " ".join(base)))
-    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
-    given = spark.createDataFrame(docs, "doc_id long, text string")
-    assert sorted(r.doc_id for r in stage(spark, given, None).collect()) == list(range(0, 120, 2))
-    assert stage(spark, given.where(F.lit(False)), None).count() == 0
