@@ -12,9 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostra.llm import bpe, langid, linededup, mixing, neardedup
+from rostra.llm import bpe, langid, linededup, mixing, simhash
 from rostra.llm.common import ship, training
-from rostra.sources.tables import materialize
+from rostra.sources.tables import released
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,10 +40,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Near duplicates have a Jaccard similarity of 0.8 or more in shingles of five words.
+    Near duplicates have SimHash fingerprints, of shingles of four words, that differ in at
+    most four bits.
     """
     ship(spark)
-    return neardedup.keep_one(docs).select(*docs.columns)
+    return simhash.keep_one(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,5 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written to the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        # What a stage wrote on its way goes when its documents are written.
+        with released(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
