@@ -934,6 +934,31 @@ def _quality() -> str:
     return " UNION ALL ".join(_metric(*row) for row in rows)
 
 
+ORACLES["write_ordered"] = """
+    SELECT publication_year, figure_id, mention_id, row_number() OVER (
+        ORDER BY publication_year DESC NULLS LAST, figure_id ASC NULLS FIRST, mention_id ASC NULLS FIRST) AS place
+    FROM {m_mentions}"""
+ORACLES["dim_figures_stamped"] = """
+    SELECT f.*, s.loaded_at FROM (""" + ORACLES["dim_figures"] + """) f JOIN (
+        SELECT figure_id, '1790-01-' || lpad(cast(min(length(variant)) AS varchar), 2, '0') AS loaded_at
+        FROM {l_rows} GROUP BY 1) s ON f.figure_id = s.figure_id"""
+ORACLES["model_reply_cache"] = """
+    SELECT p_partkey, CASE WHEN NOT contains(p_name, 'rod') THEN '{"stance_label": "'
+            || CASE length(p_name) % 2 WHEN 1 THEN 'positive' ELSE 'negative' END || '"}' END AS raw_response,
+        CASE WHEN contains(p_name, 'rod') THEN 'RuntimeError: refused' END AS error
+    FROM {part}"""
+for _stored, _plain in {
+    "merge_upsert_parts": "merge_upsert",
+    "merge_update_latest_parts": "merge_update_latest",
+    "mention_contexts_colocated": "mention_contexts_joined",
+    "gold_refreshed_mentions_by_period": "gold_mentions_by_period",
+    "gold_refreshed_stance_by_period": "gold_stance_by_period",
+    "gold_refreshed_stance_by_document": "gold_stance_by_document",
+    "gold_refreshed_stance_by_creator": "gold_stance_by_creator",
+    "gold_refreshed_stance_by_subject": "gold_stance_by_subject",
+    "gold_refreshed_top_contexts": "gold_top_contexts",
+}.items():
+    ORACLES[_stored] = ORACLES[_plain]
 ORACLES["quality_metrics"] = _quality()
 
 

@@ -15,9 +15,12 @@ from rostra.functions.dates import best_publication_date, date_from_text
 from rostra.operators import joins, upserts
 from rostra.operators.contexts import mention_contexts
 from rostra.operators.mentions import find_mentions
-from rostra.plans import dates, documents, figures, gold, mentions, quality, stance, texts
-from rostra.sources import files, lexicon, manifest
-from rostra.sources.tables import Tables, checkpoint_folder, materialize, with_missing_columns
+from rostra.plans import dates, documents, figures, gold, incremental, mentions, quality, replies, stance, texts
+from rostra.sources import files, lexicon, manifest, ordered
+from rostra.sources.parts import PartedTable
+from rostra.sources.tables import (
+    Tables, checkpoint_folder, materialize, with_missing_columns, write_colocated,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -96,6 +99,21 @@ def write_nonempty(fx):
     return tables.write("silver_dim_dates", first.where("has_publication_year"))
 
 
+@query
+def write_ordered(fx):
+    """Mentions in a global order, later years first; each row with its place, file after file."""
+    columns = ["publication_year", "figure_id", "mention_id"]
+    path = _scratch(fx.spark, "ordered")
+    ordered.write_ordered(fx.m_mentions.select(*columns), path, "-publication_year", "figure_id", "mention_id")
+    stored = ordered.read_ordered(fx.spark, path)
+    # The rows of earlier files, then the place in the own one.
+    files_ = stored.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = files_.alias("f").join(files_.alias("o"), F.col("o.file") < F.col("f.file"), "left").groupBy("f.file").agg(
+        F.coalesce(F.sum("o.n"), F.lit(0)).alias("before")
+    )
+    return stored.join(before, "file").select(*columns, (F.col("before") + F.col("place") + 1).alias("place"))
+
+
 @query
 def corpus_by_manifest(fx):
     ids = manifest.manifest_ids(fx.labels, "doc_id")
@@ -331,6 +349,14 @@ def dim_figures(fx):
     return figures.dim_figures(_lexicon(fx))
 
 
+@query
+def dim_figures_stamped(fx):
+    """Figures from a lexicon with load stamps: the earliest of their rows."""
+    stamp = F.to_timestamp(F.concat(F.lit("1790-01-"), F.lpad(F.length("variant").cast("string"), 2, "0")))
+    lexicon_rows = lexicon.normalize_lexicon(lexicon.clean_lexicon(fx.l_rows.withColumn(lexicon.STAMP, stamp)))
+    return figures.dim_figures(lexicon_rows).withColumn(lexicon.STAMP, F.date_format(lexicon.STAMP, "yyyy-MM-dd"))
+
+
 @query
 def dim_variants(fx):
     return figures.dim_variants(_lexicon(fx))
@@ -356,8 +382,8 @@ def mentions_extract(fx):
 
 @query
 def mentions_extract_routed(fx):
-    """The way of a large lexicon: texts meet variants by a join on words."""
-    return find_mentions(_texts(fx), fx.w_variants, inline_limit=0)
+    """The way of a very large lexicon: variants are dealt to slices, each with a walk of its own."""
+    return find_mentions(_texts(fx), fx.w_variants, slice_bytes=1200)
 
 
 @query
@@ -387,6 +413,22 @@ def mention_contexts_joined(fx):
     )
 
 
+@query
+def mention_contexts_colocated(fx):
+    """Contexts of stored mentions: texts and mentions lie in the same buckets and are not moved."""
+    corpus = _texts(fx)
+    tables = []
+    for kind, rows in (("texts", corpus), ("mentions", find_mentions(corpus, fx.w_variants))):
+        name = f"{kind}_{uuid.uuid4().hex}"
+        tables.append(write_colocated(rows, name, _scratch(fx.spark, name), "document_id", buckets=16))
+        # The rows stay readable; the catalog does not grow with every call.
+        fx.spark.sql(f"DROP TABLE {name}")
+    stored, found = tables
+    return mention_contexts(found, stored.hint("merge"), 5, 5).drop(
+        "file_path", "words_before_requested", "words_after_requested"
+    )
+
+
 @query
 def fact_mentions(fx):
     # Parsed once and stored, as the stage before this one would leave it.
@@ -457,6 +499,20 @@ def model_score_column(fx):
     return replies.select("mention_id", "stance_label", "stance_intensity")
 
 
+@query
+def model_reply_cache(fx):
+    """Replies to prompts that many mentions share; the scorer fails on some of them."""
+
+    def scorer(prompts):
+        if any("rod" in prompt for prompt in prompts):
+            raise RuntimeError("refused")
+        return [f'{{"stance_label": "{"positive" if len(prompt) % 2 else "negative"}"}}' for prompt in prompts]
+
+    names = fx.part.select("p_partkey", F.col("p_name").alias("prompt"))
+    tables = Tables(fx.spark, _scratch(fx.spark, "replies"))
+    return replies.ask(names, scorer, tables, "model-a").select("p_partkey", "raw_response", "error")
+
+
 @query
 def model_extract_column(fx):
     def extractor(inputs):
@@ -480,18 +536,31 @@ def merge_insert_only(fx):
     return upserts.merge_insert_only(known, fx.m_categories, "stance_category_id")
 
 
-@query
-def merge_upsert(fx):
+def _audit_sources(fx) -> tuple[DataFrame, DataFrame]:
+    """Stored audit rows, and those of a later run."""
     columns = ["stance_audit_id", "mention_id", "evidence_text", "explanation"]
     old = fx.m_audit.where("model_stance_score_raw IS NOT NULL").select(*columns)
     rescored = fx.m_audit.where("evidence_text IS NULL OR model_stance_score_raw > 0")
-    return upserts.merge_upsert(
-        old, rescored.select(*columns).withColumn("explanation", F.lit("again")), "stance_audit_id"
-    )
+    return old, rescored.select(*columns).withColumn("explanation", F.lit("again"))
 
 
 @query
-def merge_update_latest(fx):
+def merge_upsert(fx):
+    old, rescored = _audit_sources(fx)
+    return upserts.merge_upsert(old, rescored, "stance_audit_id")
+
+
+@query
+def merge_upsert_parts(fx):
+    """The same into a stored table: only parts that have a key of the batch are written."""
+    old, rescored = _audit_sources(fx)
+    table = PartedTable(fx.spark, _scratch(fx.spark, "audit"), old.schema, ["stance_audit_id"])
+    table.write(old)
+    table.upsert(rescored)
+    return table.read()
+
+
+def _audit_with_later_rows(fx) -> DataFrame:
     later = fx.m_audit.where("evidence_text IS NULL").withColumns(
         {
             "stance_audit_id": F.concat("stance_audit_id", F.lit("-b")),
@@ -499,13 +568,29 @@ def merge_update_latest(fx):
             "ship_date": F.date_add("ship_date", 1),
         }
     )
-    audit = fx.m_audit.unionByName(later).withColumnRenamed("ship_date", "stance_scored_at")
-    columns = ["mention_id", "document_id", *stance.MENTION_STANCE_COLUMNS]
+    return fx.m_audit.unionByName(later).withColumnRenamed("ship_date", "stance_scored_at")
+
+
+STANCE_OF_MENTIONS = ["mention_id", "document_id", *stance.MENTION_STANCE_COLUMNS]
+
+
+@query
+def merge_update_latest(fx):
     return stance.update_mentions(
         fx.m_mentions.withColumn("stance_updated_at", F.lit(None).cast("date")),
-        audit,
+        _audit_with_later_rows(fx),
         fx.m_categories,
-    ).select(*columns)
+    ).select(*STANCE_OF_MENTIONS)
+
+
+@query
+def merge_update_latest_parts(fx):
+    """The same in a stored mention table: only parts that have a mention of the audit are written."""
+    mentions_ = fx.m_mentions.withColumn("stance_updated_at", F.lit(None).cast("date"))
+    table = PartedTable(fx.spark, _scratch(fx.spark, "mentions"), mentions_.schema, ["mention_id"])
+    table.write(mentions_)
+    stance.update_mention_table(table, _audit_with_later_rows(fx), fx.m_categories)
+    return table.read().select(*STANCE_OF_MENTIONS)
 
 
 # ---- joins ----
@@ -594,47 +679,86 @@ def gold_top_contexts(fx):
     )
 
 
+# ---- gold, refreshed ----
+
+
+def star(fx) -> incremental.Star:
+    return incremental.Star(
+        fx.m_mentions, fx.m_documents, fx.m_dates, fx.m_categories, fx.m_contexts, fx.m_audit,
+        fx.m_bridge_creators, fx.m_creators, fx.m_bridge_subjects, fx.m_subjects,
+    )
+
+
+def star_before(fx) -> incremental.Star:
+    """The star as it was before its last batch: without the documents that are not included, with
+    mentions of January unscored, and with another name for some creators."""
+    known = fx.m_documents.where("included_in_analysis_flag").select("document_id")
+
+    def earlier(rows):
+        return rows.join(known, "document_id", "left_semi")
+
+    unscored = F.coalesce(F.col("publication_month") == 1, F.lit(False))
+    scores = ["stance_category_id", "stance_audit_id", "stance_score", "is_stance_scored"]
+    mentions_ = earlier(fx.m_mentions).withColumns({c: F.when(~unscored, F.col(c)) for c in scores})
+    renamed = F.when(F.col("creator_name").endswith("3"), F.lower("creator_name")).otherwise(F.col("creator_name"))
+    return incremental.Star(
+        mentions_, earlier(fx.m_documents), fx.m_dates, fx.m_categories, earlier(fx.m_contexts), earlier(fx.m_audit),
+        earlier(fx.m_bridge_creators), fx.m_creators.withColumn("creator_name", renamed),
+        earlier(fx.m_bridge_subjects), fx.m_subjects,
+    )
+
+
+def _refreshed(name: str) -> Callable[[Fixtures], DataFrame]:
+    def run(fx):
+        """A gold table built from the star before and brought to the star of now."""
+        before, after = star_before(fx), star(fx)
+        tables = incremental.GoldTables(fx.spark, _scratch(fx.spark, "gold"), (name,))
+        tables.build(before)
+        tables.refresh(before, after, incremental.changed_documents(before, after))
+        return tables.read(name, after)
+
+    run.__name__ = f"gold_refreshed_{name}"
+    return run
+
+
+for _name in incremental.GROUPS:
+    query(_refreshed(_name))
+
+
 # ---- quality ----
 
 
-def quality_tables(fx) -> dict[str, DataFrame]:
-    """All tables of a corpus. What several of them are built from is stored first."""
+def write_quality_tables(fx, tables: quality.MeasuredTables) -> None:
+    """All tables of a corpus in the order of their making, each built from stored ones."""
+    write = tables.write
     parsed = materialize(_parsed(fx))
-    clean = texts.clean_document_text(fx.t_ocr)
+    clean = write("silver_dim_document_text", texts.clean_document_text(fx.t_ocr))
     creators, subjects = documents.creator_entries(parsed), documents.subject_entries(parsed)
-    star = tuple(materialize(table) for table in (fx.m_mentions, fx.m_dates, fx.m_categories))
-    facts, star_dates, categories = star
-    by_document = materialize(
-        gold.figure_stance_by_document(facts, fx.m_documents, star_dates, categories)
-    )
     lexicon_rows = _lexicon(fx)
-    selected = _selected(fx)
-    return {
+    facts = write("silver_fact_figure_mentions", fx.m_mentions)
+    docs = write("silver_dim_documents", fx.m_documents)
+    categories = write("silver_dim_stance_categories", fx.m_categories)
+    contexts = write("silver_dim_mention_contexts", fx.m_contexts)
+    audit = write("silver_stance_model_audit", fx.m_audit)
+    star_dates = materialize(fx.m_dates)
+    by_document = write(
+        "gold_figure_stance_by_document", gold.figure_stance_by_document(facts, docs, star_dates, categories)
+    )
+    others = {
         "bronze_metadata": fx.t_metadata,
         "bronze_ocr_text": fx.t_ocr,
-        "silver_dim_documents": fx.m_documents,
-        "silver_fact_documents": texts.fact_documents_with_text(
-            documents.fact_documents(parsed), clean
-        ),
+        "silver_fact_documents": texts.fact_documents_with_text(documents.fact_documents(parsed), clean),
         "silver_dim_dates": documents.dim_dates(parsed),
-        "silver_publication_date_candidates": dates.mark_candidates(fx.c_candidates, selected),
-        "silver_dim_document_text": clean,
+        "silver_publication_date_candidates": dates.mark_candidates(fx.c_candidates, _selected(fx)),
         "silver_dim_creators": documents.dim_creators(creators),
         "silver_bridge_document_creators": documents.bridge_creators(creators),
         "silver_dim_subjects": documents.dim_subjects(subjects),
         "silver_bridge_document_subjects": documents.bridge_subjects(subjects),
         "silver_dim_figures": figures.dim_figures(lexicon_rows),
         "silver_dim_figure_variants": figures.dim_variants(lexicon_rows),
-        "silver_fact_figure_mentions": facts,
-        "silver_dim_mention_contexts": fx.m_contexts,
-        "silver_dim_stance_categories": categories,
-        "silver_stance_model_audit": fx.m_audit,
-        "gold_figure_mentions_by_period": gold.figure_mentions_by_period(*star),
-        "gold_figure_stance_by_period": gold.figure_stance_by_period(*star),
-        "gold_figure_stance_by_document": by_document,
-        "gold_top_stance_contexts": gold.top_stance_contexts(
-            facts, fx.m_documents, star_dates, fx.m_contexts, categories, fx.m_audit
-        ),
+        "gold_figure_mentions_by_period": gold.figure_mentions_by_period(facts, star_dates, categories),
+        "gold_figure_stance_by_period": gold.figure_stance_by_period(facts, star_dates, categories),
+        "gold_top_stance_contexts": gold.top_stance_contexts(facts, docs, star_dates, contexts, categories, audit),
         "gold_figure_stance_by_creator_period": gold.figure_stance_by_creator(
             by_document, fx.m_bridge_creators, fx.m_creators
         ),
@@ -642,11 +766,15 @@ def quality_tables(fx) -> dict[str, DataFrame]:
             by_document, fx.m_bridge_subjects, fx.m_subjects
         ),
     }
+    for name, rows in others.items():
+        write(name, rows)
 
 
 @query
 def quality_metrics(fx):
-    return quality.quality_metrics(quality_tables(fx))
+    tables = quality.MeasuredTables(Tables(fx.spark, _scratch(fx.spark, "quality")))
+    write_quality_tables(fx, tables)
+    return tables.metrics()
 
 
 @query

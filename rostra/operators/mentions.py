@@ -1,41 +1,45 @@
 """Dictionary mentions with character offsets and their word-window contexts.
 
-A document never leaves its row while it is searched: the lexicon travels as one
-literal, every match is found with ``split``, and offsets are running totals of
-the piece lengths. The only thing exploded is the finished list of mentions, so
-neither texts nor tokens are shuffled.
+A document never leaves its row while it is searched: the lexicon is a trie of words that
+every task knows, and a text is walked through once, whatever the number of variants. The
+only thing exploded is the finished list of mentions, so neither texts nor words are
+shuffled.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.functions.common import hashed_key, let
-from rostra.operators.arrays import running_totals
+from rostra.functions.common import hashed_key
 from rostra.operators.contexts import context_windows
+from rostra.operators.phrases import Phrases
 
 MATCH_METHOD = "dictionary_regex"
 
-# A lexicon up to this many variants is inlined into the plan; a larger one is
-# routed to the documents by a join on words.
-INLINE_VARIANTS = 2000
+# Bytes of variants that a task knows at once. A larger lexicon is cut into slices of that
+# size, and each has its own walk.
+SLICE_BYTES = 64_000_000
+# Bytes that a variant takes besides its text, about.
+_VARIANT_BYTES = 500
 
 # Letters that count as equal when case is ignored although lower
 # casing keeps them apart (long s, dotless i, micro sign, final sigma, dotted long s).
 CASE_TWINS = {"ſ": "s", "ı": "i", "µ": "μ", "ς": "σ", "ẛ": "ṡ"}
 
-_WORD = r"[\p{L}\p{N}_]"
-_VARIANTS = (
-    "array<struct<figure_id:string,variant_id:string,matched_variant:string,"
-    "variant_normalized:string,needle:string,pattern:string>>"
-)
+# Attributes of a variant that its mentions carry.
+_ATTRIBUTES = ["figure_id", "variant_id", "matched_variant", "variant_normalized"]
+_MENTION = pa.struct([
+    ("match_start_char", pa.int32()), ("match_end_char", pa.int32()), *[(name, pa.string()) for name in _ATTRIBUTES],
+])
 _MENTIONS = (
     "array<struct<match_start_char:int,match_end_char:int,figure_id:string,"
-    "variant_id:string,matched_variant:string,variant_normalized:string,"
-    "match_method:string>>"
+    "variant_id:string,matched_variant:string,variant_normalized:string>>"
 )
 
 
@@ -48,132 +52,85 @@ def fold_case_twins(text: Column) -> Column:
     return F.when(present, folded).otherwise(text)
 
 
-def variant_pattern(needle: Column) -> Column:
-    """The needle as a whole word. The literal comes first so that the regex engine
-    can skip ahead to it; the look-around only runs where it occurs."""
-    quoted = F.concat(
-        F.lit(r"\Q"), F.replace(needle, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
-    )
-    return F.concat(quoted, F.lit(f"(?!{_WORD})(?<!{_WORD}"), quoted, F.lit(")"))
+@dataclass
+class Lexicon:
+    """A slice of the variants: their trie, and the attributes of each."""
 
+    phrases: Phrases
+    attributes: dict[str, pa.Array]
 
-def _with_patterns(variants: DataFrame) -> DataFrame:
-    needle = fold_case_twins(F.lower("variant_normalized"))
-    return variants.where(F.col("variant_normalized") != "").select(
-        "figure_id",
-        "variant_id",
-        F.col("variant").alias("matched_variant"),
-        "variant_normalized",
-        needle.alias("needle"),
-        variant_pattern(needle).alias("pattern"),
-    )
+    def mentions(self, texts: pa.Array) -> pa.Array:
+        """Mentions of every text, by start, end, figure and variant."""
+        starts, ends, numbers, offsets = [], [], [], [0]
+        for text in texts.to_pylist():
+            for start, end, number in self.phrases.find(text or ""):
+                starts.append(start)
+                ends.append(end)
+                numbers.append(number)
+            offsets.append(len(starts))
+        taken = pa.array(numbers, pa.int64())
+        columns = [pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+        columns += [self.attributes[name].take(taken) for name in _ATTRIBUTES]
+        found = pa.StructArray.from_arrays(columns, fields=list(_MENTION))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
 
 
-def _matches(text: Column, variant: Column) -> Column:
-    """All non-overlapping whole-word matches of one variant."""
-    needle = variant.getField("needle")
-
-    def located(gaps):
-        steps = F.transform(gaps, lambda gap, i: F.length(gap) + F.when(i > 0, F.length(needle)).otherwise(0))
-        return F.transform(
-            running_totals(steps),
-            lambda start: F.struct(
-                start.alias("match_start_char"),
-                (start + F.length(needle)).alias("match_end_char"),
-                variant.getField("figure_id").alias("figure_id"),
-                variant.getField("variant_id").alias("variant_id"),
-                variant.getField("matched_variant").alias("matched_variant"),
-                variant.getField("variant_normalized").alias("variant_normalized"),
-                F.lit(MATCH_METHOD).alias("match_method"),
-            ),
-        )
+def lexicon_slices(variants: DataFrame, slice_bytes: int = SLICE_BYTES) -> Iterator[Lexicon]:
+    """The variants as tries of at most about ``slice_bytes``.
 
-    none = F.array().cast(_MENTIONS)
-    searched = let(
-        F.split(text, variant.getField("pattern"), -1),
-        lambda pieces: F.when(
-            F.size(pieces) > 1, located(F.slice(pieces, F.lit(1), F.size(pieces) - 1))
-        ).otherwise(none),
-    )
-    return F.when(F.contains(text, needle), searched).otherwise(none)
-
-
-def mentions_in_text(
-    clean_text_lower: Column, variants: Column
-) -> Column:
-    """Array of mentions sorted by (start, end, figure, variant). Overlapping mentions
-    of different variants are all kept. The text must be lower-cased and single-spaced."""
-    return let(
-        fold_case_twins(F.coalesce(clean_text_lower, F.lit(""))),
-        lambda text: F.array_sort(
-            F.flatten(F.transform(variants, lambda variant: _matches(text, variant)))
-        ),
+    A variant is in one slice, by a hash of its key, so that no slice but the one at hand
+    is on the driver. Variants without a normal form match nothing.
+    """
+    needle = fold_case_twins(F.lower("variant_normalized"))
+    rows = variants.where(F.col("variant_normalized") != "").select(
+        "figure_id", "variant_id", F.col("variant").alias("matched_variant"), "variant_normalized", needle.alias("needle")
     )
+    size = rows.agg(F.sum(F.octet_length("needle") + F.lit(_VARIANT_BYTES))).first()[0] or 0
+    count = max(1, -(-size // slice_bytes))
+    number = F.pmod(F.xxhash64("figure_id", "variant_id", "needle"), F.lit(count))
+    for i in range(count):
+        found = rows.where(number == i).toArrow().combine_chunks().sort_by([("figure_id", "ascending"), ("variant_id", "ascending")])
+        attributes = {name: found[name].combine_chunks() for name in _ATTRIBUTES}
+        yield Lexicon(Phrases(found["needle"].to_pylist()), attributes)
 
 
-def inline_variants(variants: DataFrame, limit: int = INLINE_VARIANTS) -> Column | None:
-    """The lexicon as one literal column, or None when it has more than ``limit`` rows.
+def mentions_in_text(texts: DataFrame, lexicon: Lexicon) -> Column:
+    """Array of mentions of ``clean_text_lower``, which must be lower-cased and single-spaced.
 
-    At most ``limit + 1`` rows ever reach the driver.
+    Sorted by (start, end, figure, variant). Overlapping mentions of different variants
+    are all kept.
     """
-    rows = _with_patterns(variants).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    rows.sort(key=lambda row: (row.figure_id or "", row.variant_id or ""))
-    document = json.dumps([row.asDict() for row in rows], ensure_ascii=False)
-    return F.from_json(F.lit(document), _VARIANTS)
+    # No larger than a slice.
+    shared = texts.sparkSession.sparkContext.broadcast(lexicon)
 
+    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield shared.value.mentions(texts)
 
-def route_variants(texts: DataFrame, variants: DataFrame) -> DataFrame:
-    """Texts with an array of the variants that can occur in them, for a large lexicon.
-
-    A variant can only match where its longest word is a whole word of the text (for one
-    without a letter or digit: where its first character is), so documents meet variants
-    in an equi-join. Words that no variant has are dropped before anything is shuffled by
-    document: the lexicon's words are few beside those of the texts.
-    """
-    word = F.lit(f"({_WORD}+)")
-    patterned = _with_patterns(variants)
-    words = F.array_sort(
-        F.transform(F.regexp_extract_all("needle", word, 1), lambda w: F.struct(-F.length(w), w.alias("word")))
-    )
-    patterned = patterned.select(
-        F.struct("*").alias("variant"),
-        F.coalesce(F.get(words, 0)["word"], F.substring("needle", 1, 1)).alias("word"),
-    )
-    text = fold_case_twins(F.col("clean_text_lower"))
-    signs = F.regexp_extract_all(text, F.lit(f"([^\\p{{L}}\\p{{N}}_])"), 1)
-    met = texts.select(
-        "document_id",
-        F.explode(F.array_distinct(F.concat(F.regexp_extract_all(text, word, 1), signs))).alias("word"),
-    )
-    # The semi-join is against distinct words, so a common word is met once per text.
-    routed = (
-        met.join(patterned.select("word").distinct(), "word", "left_semi")
-        .join(patterned, "word")
-        .groupBy("document_id")
-        .agg(F.collect_list("variant").alias("routed"))
-    )
-    present = F.coalesce(F.col("routed").cast(_VARIANTS), F.array().cast(_VARIANTS))
-    return texts.join(routed, "document_id", "left").withColumn("variants", present).drop("routed")
+    return F.arrow_udf(search, _MENTIONS)(fold_case_twins(F.coalesce("clean_text_lower", F.lit(""))))
 
 
 def find_mentions(
     texts: DataFrame,
     variants: DataFrame,
     contexts: tuple[int, int] | None = None,
-    inline_limit: int = INLINE_VARIANTS,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row per mention of a lexicon variant in ``texts``.
 
     ``texts`` needs ``document_id``, ``clean_text_lower`` and, for contexts,
     ``clean_text``; ``variants`` is the variant dimension. With ``contexts=(before,
-    after)`` the context columns come from the same pass over the text.
+    after)`` the context columns come from the same pass over the text. A lexicon of
+    several slices takes a pass for each.
     """
-    lexicon = inline_variants(variants, inline_limit)
-    if lexicon is None:
-        texts, lexicon = route_variants(texts, variants), F.col("variants")
-    mentions = mentions_in_text(F.col("clean_text_lower"), lexicon)
+    return reduce(
+        DataFrame.unionByName,
+        [_mentions_of(texts, lexicon, contexts) for lexicon in lexicon_slices(variants, slice_bytes)],
+    )
+
+
+def _mentions_of(texts: DataFrame, lexicon: Lexicon, contexts: tuple[int, int] | None) -> DataFrame:
+    mentions = mentions_in_text(texts, lexicon)
     found = texts.withColumn("mentions", mentions)
     # Outer explode plus a filter: an inner explode makes the optimizer add a size
     # check on the array, which would run the whole search a second time.
@@ -210,4 +167,5 @@ def find_mentions(
         F.col("mention.match_start_char").cast("string"),
         F.col("mention.match_end_char").cast("string"),
     )
-    return rows.select(mention_id.alias("mention_id"), "document_id", "mention.*", *extra)
+    method = F.lit(MATCH_METHOD).alias("match_method")
+    return rows.select(mention_id.alias("mention_id"), "document_id", "mention.*", method, *extra)

@@ -96,16 +96,48 @@ def corpus(spark):
     return texts, variants
 
 
-@pytest.mark.parametrize("limit", [2000, 3])
-def test_mentions_equal_brute_force(corpus, limit):
+@pytest.mark.parametrize("slice_bytes", [10**6, 1500])
+def test_mentions_equal_brute_force(corpus, slice_bytes):
     texts, variants = corpus
-    rows = find_mentions(texts, variants, inline_limit=limit).collect()
+    rows = find_mentions(texts, variants, slice_bytes=slice_bytes).collect()
     got = [(r.document_id, r.variant_id, r.match_start_char, r.match_end_char) for r in rows]
     assert len(got) == len(set(got))
     assert set(got) == brute_force()
     assert len({r.mention_id for r in rows}) == len(rows)
 
 
+@pytest.mark.parametrize("size", [47, 50_000])
+def test_a_lexicon_of_any_size_is_one_plan(spark, size):
+    """Random texts and phrases of words, signs and letters beyond ASCII, against a regular expression each."""
+    pick = random.Random(size)
+    words = ["né", "l", "d", "o'n", "ab", "a", "b", "ÿz", "x1", "_", "&", "§§", "--", "1793", "中", "st."]
+    seps = [" ", " ", " ", "-", "'", ", ", " & "]
+
+    def phrase(n):
+        return "".join(pick.choice(words) + (pick.choice(seps) if i < n - 1 else "") for i in range(n))
+
+    texts = [phrase(pick.randrange(0, 60)) for _ in range(60)]
+    lexicon = list(dict.fromkeys([w for w in words] + ["'a", "a'", "-b-", ", a", "a & b"] + [phrase(pick.randrange(1, 5)) for _ in range(40)]))
+    used = lexicon[:47]
+    # The rest of a large lexicon occurs in no text.
+    lexicon = used + [f"zz{i} {phrase(2)}" for i in range(size - len(used))]
+    frame = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "document_id string, clean_text_lower string")
+    variants = spark.createDataFrame(
+        [("f", f"v{i}", v, v) for i, v in enumerate(lexicon)],
+        "figure_id string, variant_id string, variant string, variant_normalized string",
+    )
+    found = find_mentions(frame, variants)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+    want = {
+        (f"d{d}", f"v{i}", m.start(), m.end())
+        for d, text in enumerate(texts) for i, v in enumerate(used)
+        for m in re.finditer(r"(?<!\w)" + re.escape(v) + r"(?!\w)", text)
+    }
+    got = [(r.document_id, r.variant_id, r.match_start_char, r.match_end_char) for r in found.collect()]
+    assert len(want) > 500 and sorted(got) == sorted(want)
+
+
 def test_both_context_forms_agree(corpus):
     texts, variants = corpus
     fused = find_mentions(texts, variants, contexts=(3, 2))
