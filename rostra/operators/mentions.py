@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rostra.functions.common import hashed_key
 from rostra.operators.contexts import context_windows
 from rostra.operators.phrases import Phrases
+from rostra.sources.shipping import ship
 
 MATCH_METHOD = "dictionary_regex"
 
@@ -100,6 +101,7 @@ def mentions_in_text(texts: DataFrame, lexicon: Lexicon) -> Column:
     Sorted by (start, end, figure, variant). Overlapping mentions of different variants
     are all kept.
     """
+    ship(texts.sparkSession)
     # No larger than a slice.
     shared = texts.sparkSession.sparkContext.broadcast(lexicon)
 

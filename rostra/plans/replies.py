@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostra.sources.shipping import ship
 from rostra.sources.tables import Tables
 
 TABLE = "silver_model_replies"
@@ -51,6 +52,7 @@ def ask(
     a run that breaks off afterwards asks nothing twice. Of several stored replies to a
     prompt one without an error counts, else the error is passed on.
     """
+    ship(tables.spark)
     tables.create_if_missing(TABLE, SCHEMA)
     digest = prompt_digest(model, F.col(prompt))
     asked = rows.select(digest.alias("prompt_digest"), F.coalesce(prompt, F.lit("")).alias("prompt"))

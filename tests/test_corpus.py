@@ -40,16 +40,18 @@ TEXTS = {
 LEXICON = [("danton", "Georges Danton", "Danton", "high"), ("marat", "Jean-Paul Marat", "Marat", "high")]
 
 
-def scorer(prompts):
-    out = []
-    for prompt in prompts:
-        near = prompt.split("Context window:\n")[1].split("mot ")
-        words = " ".join(w for w in near if w.strip() and w.strip() != "mot")
-        label = "positive" if "bon" in words else "negative" if "mal" in words else "neutral_or_unclear"
-        out.append(json.dumps({
-            "stance_label": label, "stance_intensity": "none" if label.startswith("n") and label != "negative" else "strong",
-            "stance_confidence": "high", "target_relevance": "direct", "evidence_text": "vu", "explanation": "x"}))
-    return out
+def make_scorer():
+    def scorer(prompts):
+        out = []
+        for prompt in prompts:
+            words = prompt.split("Context window:\n")[1].replace("mot ", "")
+            label = "positive" if "bon" in words else "negative" if "mal" in words else "neutral_or_unclear"
+            out.append(json.dumps({
+                "stance_label": label, "stance_intensity": "none" if label == "neutral_or_unclear" else "strong",
+                "stance_confidence": "high", "target_relevance": "direct", "evidence_text": "vu", "explanation": "x"}))
+        return out
+
+    return scorer
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +62,7 @@ def built(spark, tmp_path_factory):
     lex = spark.createDataFrame([(f, n, v, None, "title", c, None) for f, n, v, c in LEXICON],
                                 "figure_id string, canonical_name string, variant string, variant_normalized string, variant_type string, match_confidence string, notes string")
     tables = MeasuredTables(Tables(spark, root))
-    metrics = corpus.run(tables, metadata, ocr, lexicon.validated_lexicon(lex), scorer, "model-a")
+    metrics = corpus.run(tables, metadata, ocr, lexicon.validated_lexicon(lex), make_scorer(), "model-a")
     return tables, {r.metric_name: r.metric_value for r in metrics.collect()}
 
 
@@ -113,7 +115,7 @@ def test_metrics_of_the_corpus(built):
 
 def test_stages_can_be_repeated(built):
     tables, metrics = built
-    assert corpus.score_mentions(tables, scorer, "model-a") == 0
+    assert corpus.score_mentions(tables, make_scorer(), "model-a") == 0
     corpus.build_gold(tables)
     assert {r.metric_name: r.metric_value for r in tables.metrics().collect()} == metrics
 
