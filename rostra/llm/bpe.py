@@ -7,7 +7,8 @@ Decoding is an ordered aggregate over (position, token) rows.
 
 A text is cut into units, white space with the characters after it. A match of the
 pattern never crosses from such characters into white space, so a unit can be
-pre-tokenised by itself and its ids be reused wherever it occurs.
+pre-tokenised by itself and its ids be reused wherever it occurs: texts are sequences of
+numbers of units, and what is known of a unit is taken by its number.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import base64
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import pairwise
+from hashlib import sha256
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,10 @@ from rostra.llm.common import BLOCK_CHARS, append_columns, blocks, schema_with
 _SPACE = "\t-\r \x85\xa0  -     　"
 # Rounds of a query before its finished words are set aside.
 _ROUNDS = 24
-# Units, words and runs of ids that a task remembers, each. 100,000 take about 60 MB.
-REMEMBERED = 200_000
+# Bytes that a worker remembers of units with their results, of words, and of runs of ids, each.
+REMEMBERED = 160_000_000
+# Bytes of an entry of a dictionary beside its key, about, and of words in one query.
+_ENTRY, _PORTION = 150, 200_000
 # Words of more bytes contract all occurrences of their least pair in a round.
 _LONG = 48
 
@@ -115,9 +119,40 @@ def is_regular(ranks: dict[bytes, int]) -> bool:
     return True
 
 
-def _still(known: dict, met: Iterable) -> dict:
-    """What is known of those met now; the rest is forgotten."""
-    return {item: known[item] for item in met if item in known}
+class _Codes(dict):
+    """Units numbered in the order in which they are met."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = code = len(self)
+        return code
+
+
+class _Memory(dict):
+    """Results by key, forgotten all at once when they take more than ``limit`` bytes."""
+
+    def __init__(self, limit: int):
+        self.limit, self.held = limit, 0
+
+    def learn(self, items: Iterable[tuple]) -> None:
+        for key, value in items:
+            self[key] = value
+            self.held += len(key) + len(value) + _ENTRY
+
+    def make_room(self) -> None:
+        if self.held > self.limit:
+            self.clear()
+            self.held = 0
+
+
+def _joined(pool: pa.Array, codes: np.ndarray, ends: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """Bytes of the pool's values at ``codes`` one after the other, and where each text begins and ends.
+
+    A text has the codes up to its entry of ``ends``, after those of the text before.
+    """
+    taken = pool.take(pa.array(codes))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[: len(codes) + 1]
+    data = taken.buffers()[2]
+    return memoryview(data) if data is not None else memoryview(b""), offsets[np.concatenate([[0], ends])]
 
 
 def _portions(words: list[tuple[str, bytes]], limit: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -159,11 +194,17 @@ class ByteBpe:
             hex=pa.array([token.hex() for token in ranks]),
         )
         self.rounds, self.regular, self.remembered = rounds, regular, remembered
+        self.decimals = {rank: b"%d," % rank for rank in ranks.values()}
         self.opens = np.zeros(max(ranks.values()) + 1, bool)
         self.opens[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Memory(remembered)
         self.runs: dict[bytes, bytes] = {}
+        self._forget_units()
+
+    def _forget_units(self) -> None:
+        """Units by number, and by that number their ids, the ids in decimals, and their decoded bytes."""
+        self.codes = _Codes()
+        self.pools = {name: pa.array([], pa.large_binary()) for name in ("ids", "listed", "decoded")}
 
     def _table(self, name: str, **columns) -> None:
         self.con.register("given", pa.table(columns))
@@ -193,60 +234,96 @@ class ByteBpe:
             word, pos, tok = word[going], pos[going], tok[going]
         return out
 
-    def _learn_words(self, met: list[str]) -> None:
-        new = [w for w in dict.fromkeys(met) if w not in self.words]
-        if len(self.words) + len(new) > self.remembered:
-            self.words = _still(self.words, met)
+    def _learn_words(self, met: Iterable[str]) -> None:
+        self.words.make_room()
         short, long = [], []
-        for word in new:
+        for word in dict.fromkeys(met):
+            if word in self.words:
+                continue
             raw = word.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                self.words[word] = rank.to_bytes(4, "little")
+                self.words.learn([(word, rank.to_bytes(4, "little"))])
             else:
                 (long if len(raw) > _LONG and self.regular else short).append((word, raw))
         for words, contract in ((short, _LEFTMOST), (long, _EVERY)):
             # Bytes of words in one query: what it holds follows from them.
-            for part in _portions(words, self.remembered):
+            for part in _portions(words, _PORTION):
                 found = self._contracted([raw for _, raw in part], contract)
-                self.words.update(zip((word for word, _ in part), found))
+                self.words.learn(zip((word for word, _ in part), found))
 
-    def _learn(self, new: list[str]) -> None:
-        cut = [self.pattern.findall(unit) for unit in new]
-        self._learn_words([word for words in cut for word in words])
+    def _learn(self, units: list[str]) -> None:
+        """Results of units that were met for the first time, in the order of their numbers."""
+        cut = [self.pattern.findall(unit) for unit in units]
+        self._learn_words(word for words in cut for word in words)
         known = self.words.__getitem__
-        for unit, words in zip(new, cut):
-            self.units[unit] = b"".join(map(known, words))
+        ids = [b"".join(map(known, words)) for words in cut]
+        numbers = [np.frombuffer(i, np.int32) for i in ids]
+        decimals = self.decimals.__getitem__
+        new = {
+            "ids": ids,
+            "listed": [b"".join(map(decimals, n.tolist())) for n in numbers],
+            "decoded": self._decoded(numbers, {}),
+        }
+        self.pools = {
+            name: pa.concat_arrays([pool, pa.array(new[name], pa.large_binary())]) for name, pool in self.pools.items()
+        }
+
+    def _coded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of all texts, and how many there are up to the end of each."""
+        held = sum(pool.nbytes for pool in self.pools.values()) + len(self.codes) * _ENTRY
+        if held > self.remembered:
+            self._forget_units()
+        known = len(self.codes)
+        cut = [self.unit.findall(text or "") for text in texts]
+        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        total = int(ends[-1]) if len(ends) else 0
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, total)
+        if len(self.codes) > known:
+            self._learn(list(islice(self.codes, known, None)))
+        return codes, ends
+
+    def _texts(self, name: str, codes: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        data, cuts = _joined(self.pools[name], codes, ends)
+        return [data[a:b] for a, b in pairwise(cuts.tolist())]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text."""
-        cut = [self.unit.findall(text or "") for text in texts]
-        met = {unit for units in cut for unit in units}
-        new = met - self.units.keys()
-        if len(self.units) + len(new) > self.remembered:
-            self.units = _still(self.units, met)
-        self._learn(list(new))
-        known = self.units.__getitem__
-        return [np.frombuffer(b"".join(map(known, units)), np.int32) for units in cut]
+        return [np.frombuffer(raw, np.int32) for raw in self._texts("ids", *self._coded(texts))]
+
+    def round_trip(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[memoryview]]:
+        """Ids of every text, and the bytes that they decode to."""
+        coded = self._coded(texts)
+        return [np.frombuffer(raw, np.int32) for raw in self._texts("ids", *coded)], self._texts("decoded", *coded)
+
+    def digested(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
+        """Number of ids, digest of their decimals joined by commas, and of the bytes that they decode to."""
+        coded = self._coded(texts)
+        _, cuts = _joined(self.pools["ids"], *coded)
+        listed = [sha256(raw[:-1]).hexdigest() for raw in self._texts("listed", *coded)]
+        return (np.diff(cuts) // 4).tolist(), listed, [sha256(raw).hexdigest() for raw in self._texts("decoded", *coded)]
+
+    def _decoded(self, texts: list[np.ndarray], known: dict[bytes, bytes]) -> list[bytes]:
+        """Bytes of every sequence of ids; equal ones, and those that are known, are decoded once."""
+        raw = [ids.tobytes() for ids in texts]
+        known.update(self._decode_runs([run for run in dict.fromkeys(raw) if run and run not in known]))
+        known[b""] = b""
+        return [known[run] for run in raw]
 
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """Bytes of every sequence of ids; runs that begin with a space are decoded once."""
         cut = []
         for ids in texts:
             starts = np.flatnonzero(self.opens[ids])
-            at = [0, *(starts[starts > 0] * 4).tolist(), len(ids) * 4]
-            raw = ids.tobytes()
-            cut.append([raw[a:b] for a, b in pairwise(at)])
-        met = {run for runs in cut for run in runs}
-        new = met - self.runs.keys()
-        if len(self.runs) + len(new) > self.remembered:
-            self.runs = _still(self.runs, met)
-        self._decode_runs([run for run in new if run])
-        self.runs[b""] = b""
-        known = self.runs.__getitem__
-        return [b"".join(map(known, runs)) for runs in cut]
-
-    def _decode_runs(self, runs: list[bytes]) -> None:
+            at = [0, *(starts[starts > 0]).tolist(), len(ids)]
+            cut.append([ids[a:b] for a, b in pairwise(at)])
+        if sum(map(len, self.runs)) + len(self.runs) * _ENTRY > self.remembered:
+            self.runs = {}
+        found = iter(self._decoded(list(chain.from_iterable(cut)), self.runs))
+        return [b"".join(islice(found, len(runs))) for runs in cut]
+
+    def _decode_runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        known = {}
         for first in range(0, len(runs), 50_000):
             part = runs[first : first + 50_000]
             lengths = np.fromiter((len(run) // 4 for run in part), np.int64, len(part))
@@ -257,8 +334,9 @@ class ByteBpe:
             self.con.register("tokens", pa.table({"run": run, "pos": pos, "id": ids}))
             found = self.con.sql(_DECODE).to_arrow_table()
             self.con.unregister("tokens")
-            for index, text in zip(found["run"].to_pylist(), found["bytes"].to_pylist(), strict=True):
-                self.runs[part[index]] = text
+            texts = found["bytes"].to_pylist()
+            known.update(zip((part[index] for index in found["run"].to_pylist()), texts, strict=True))
+        return known
 
 
 _workers: dict[str, ByteBpe] = {}
@@ -343,11 +421,11 @@ def round_trip(
     """
 
     def work(codec, block):
-        ids = codec.encode(block.column(text).to_pylist())
+        ids, decoded = codec.round_trip(block.column(text).to_pylist())
         return {
             "ids": _ids_array(ids),
             "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-            "decoded": pa.array(codec.decode(ids), pa.binary()),
+            "decoded": pa.array([bytes(d) for d in decoded], pa.binary()),
         }
 
     columns = ["ids array<int>", "n_tokens long", "decoded binary"]
@@ -362,15 +440,13 @@ def digests(
     Adds ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas) and
     ``decoded_sha256``, both in lowercase hex.
     """
-    from hashlib import sha256
 
     def work(codec, block):
-        ids = codec.encode(block.column(text).to_pylist())
-        listed = (",".join(map(str, i.tolist())).encode() for i in ids)
+        counts, listed, decoded = codec.digested(block.column(text).to_pylist())
         return {
-            "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-            "ids_sha256": pa.array([sha256(i).hexdigest() for i in listed], pa.string()),
-            "decoded_sha256": pa.array([sha256(d).hexdigest() for d in codec.decode(ids)], pa.string()),
+            "n_tokens": pa.array(counts, pa.int64()),
+            "ids_sha256": pa.array(listed, pa.string()),
+            "decoded_sha256": pa.array(decoded, pa.string()),
         }
 
     columns = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]

@@ -31,7 +31,7 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = documents(spark, folder).select("doc_id", "text")
     path = public_tokenizers.path(BPE_FILE)
-    found = bpe.digests(docs, path, public_tokenizers.PATTERN, remembered=600_000)
+    found = bpe.digests(docs, path, public_tokenizers.PATTERN)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
