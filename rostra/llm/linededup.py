@@ -125,18 +125,18 @@ def recurring_lines(
     (the id that keeps it) and ``n``, the number of lines with it.
     """
     narrow = materialize(_lines(docs, least_tokens, depth))
-    leaves = narrow.groupBy("leaf").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    # Equal lines once, with one place where their text can be found.
-    distinct = (
-        narrow.join(leaves.where("first < last").select("leaf"), "leaf", "left_semi")
-        .groupBy("leaf", "same")
-        .agg(
+    # Equal lines once, with one place where their text can be found; they meet before the
+    # lines of a leaf do, as one line may be that of most documents.
+    equal = materialize(
+        narrow.groupBy("leaf", "same").agg(
             F.count(F.lit(1)).alias("n"),
             F.min("id").alias("first"),
             F.max("id").alias("last"),
             F.min(F.struct("id", "content", "at")).alias("place"),
         )
     )
+    leaves = equal.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    distinct = equal.join(leaves.where("first < last").select("leaf"), "leaf", "left_semi")
     lines = F.collect_list(F.struct("place.at", "leaf", "same", "n", "first", "last"))
     places = distinct.groupBy("place.id", "place.content").agg(lines.alias("lines"))
     # The texts of those places: only documents that have one are cut again, and the cut

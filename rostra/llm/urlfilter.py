@@ -8,16 +8,13 @@ that a rule decides, scores the words and the tokens of the path of all others.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import append_columns, schema_with
+from rostra.llm.common import packed
 from rostra.sources.tables import materialize
 
 ALLOW, BLOCK = "allow", "block"
@@ -29,11 +26,8 @@ RULES = (
     (BLOCK, "net", "/es/"),
     (BLOCK, "net", "/fr/"),
 )
-# A word or token is learned if it makes at least this part of all, so at most so many
-# are; the others are told together as one rare token.
-WORDS = 1 << 15
-TOKENS = 1 << 16
-_RARE = ""
+# Letters in a row, as host labels and words of a text have them.
+_LETTERS = "[\\p{L}]+"
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -61,26 +55,20 @@ def _longest_fit(rules: tuple[tuple[str, str, str], ...]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def word_scores(texts: DataFrame, text: str = "text", words: int = WORDS) -> dict[str, float]:
-    """Log probabilities of the frequent words of a corpus, lower-cased runs of a-z.
+def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
+    """``word`` and ``n`` of all words of a corpus: runs of letters in lower case."""
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({_LETTERS})"), 1)
+    return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
-    Kept are words that make at least one in ``words`` of all, so never more than that.
-    """
-    cut = F.split(F.lower(F.col(text)), "[^\\p{L}]+")
-    counts = materialize(
-        texts.select(F.explode(cut).alias("word")).where(F.col("word") != "").groupBy("word").count()
-    )
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    kept = counts.where((F.col("count") * words >= total) & F.col("word").rlike("^[a-z]+$")).collect()
-    return {r["word"]: math.log(r["count"] / total) for r in kept}
 
-
-def segment(label: str, scores: dict[str, float], longest: int) -> list[str]:
+def segment(label: str, scores: dict[str, float], longest: int, unknown: float | None = None) -> list[str]:
     """Words of the best cut of a label: the largest sum of scores, then the fewest words.
 
-    A letter that no word covers counts as a word of a tenth of the least probability.
+    A letter that no word covers counts as a word of score ``unknown``: a tenth of the
+    least probability.
     """
-    unknown = min(scores.values(), default=0.0) - math.log(10)
+    if unknown is None:
+        unknown = min(scores.values(), default=0.0) - math.log(10)
     best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
     for end in range(1, len(label) + 1):
         options = []
@@ -97,70 +85,76 @@ def segment(label: str, scores: dict[str, float], longest: int) -> list[str]:
     return words[::-1]
 
 
-def with_tokens(urls: DataFrame, scores: dict[str, float]) -> DataFrame:
-    """Urls with ``tokens``: words of the host's labels (``h:``) and parts of the path (``p:``).
+def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
+    """Distinct ``label`` with ``words``, its best cut under the log shares of all word counts.
 
-    Digits are told by their number alone.
+    Only those parts of a label that are words reach its row, by a join of all distinct
+    parts with the counts; no word is left out for being rare. A part is no longer than
+    the longest word.
     """
-    urls = urls.drop("tokens")
-    # The words are bounded in number, see ``word_scores``.
-    shared = urls.sparkSession.sparkContext.broadcast(scores)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        longest = max(map(len, known), default=1)
-
-        @lru_cache(maxsize=100_000)
-        def host_tokens(name: str) -> list[str]:
-            parts = re.findall(r"[^\W\d_]+|\d+", name)
-            words = [w for p in parts for w in ([f"#{len(p)}"] if p[0].isdigit() else segment(p, known, longest))]
-            return ["h:" + w for w in words]
-
-        def path_tokens(rest: str) -> list[str]:
-            parts = re.findall(r"[^\W\d_]+|\d+", rest.lower())
-            return ["p:" + (f"#{len(p)}" if p[0].isdigit() else p) for p in parts]
-
+    whole = counts.agg(F.sum("n").alias("total"), F.min("n").alias("least"), F.max(F.length("word")).alias("longest")).first()
+    total, least, longest = whole["total"] or 1, whole["least"] or 1, whole["longest"] or 1
+    unknown = math.log(least / total) - math.log(10) if whole["total"] else -math.log(10)
+    starts = F.sequence(F.lit(1), F.length("label"))
+    spans = F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.length("label") - i + 1)), lambda n: F.substring(F.col("label"), i, n)
+    )))
+    parts = labels.select("label", F.explode(F.array_distinct(spans)).alias("word"))
+    known = parts.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)
-            tokens = [host_tokens(h) + path_tokens(p) for h, p in pairs]
-            yield append_columns(batch, tokens=pa.array(tokens, pa.list_(pa.string())))
+            words = []
+            for label, pairs in zip(batch.column("label").to_pylist(), batch.column("known").to_pylist()):
+                scores = {p["word"]: math.log(p["n"] / total) for p in pairs or []}
+                words.append(segment(label, scores, max(map(len, scores), default=1), unknown))
+            yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "words": pa.array(words, pa.list_(pa.string()))})
+
+    return labels.join(known, "label", "left").select("label", "known").mapInArrow(cut, "label string, words array<string>")
 
-    return urls.mapInArrow(run, schema_with(urls, "tokens array<string>"))
 
+def _parts(text: Column) -> Column:
+    """Runs of letters and runs of digits, in order."""
+    return F.regexp_extract_all(text, F.lit("([\\p{L}]+|[\\p{Nd}]+)"), 1)
 
-@dataclass(frozen=True)
-class Bayes:
-    """Log odds of block against allow: prior, of the known tokens and of any other."""
 
-    prior: float
-    odds: dict[str, float]
-    rare: float
+def _numbers(part: Column) -> Column:
+    return F.concat(F.lit("#"), F.length(part).cast("string"))
 
 
-def fit(labelled: DataFrame, tokens: int = TOKENS) -> Bayes:
-    """Multinomial naive Bayes from ``tokens`` and ``verdict``, with one added to each count.
+def with_tokens(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """Urls (``row``, ``host``, ``path``) as ``row`` and ``token``, one row for each token.
 
-    A class without any row has the odds of the other's; without rows all odds are 0.
+    Tokens are words of the host's labels (``h:``) and parts of the path (``p:``). Digits are
+    told by their number alone. Hosts are cut once, whatever the number of their urls.
     """
-    sizes = {r["verdict"]: r["count"] for r in labelled.groupBy("verdict").count().collect()}
-    prior = math.log((sizes.get(BLOCK, 0) + 1) / (sizes.get(ALLOW, 0) + 1))
-    is_block = (F.col("verdict") == BLOCK).cast("long")
-    counts = materialize(
-        labelled.select(is_block.alias("b"), F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .agg(F.sum("b").alias("blocked"), F.count(F.lit(1)).alias("n"))
+    is_number = F.col("label").rlike("^[\\p{Nd}]")
+    hosts = materialize(urls.select("host").distinct().select("host", F.explode(_parts(F.col("host"))).alias("label")))
+    letters = hosts.where(~is_number).select("label").distinct()
+    words = segmented(letters, counts).select("label", F.explode("words").alias("word"))
+    of_hosts = hosts.where(~is_number).join(words, "label").select("host", "word").unionByName(
+        hosts.where(is_number).select("host", _numbers(F.col("label")).alias("word"))
     )
-    totals = counts.agg(F.sum("blocked").alias("b"), F.sum("n").alias("n")).first()
-    blocked, n = totals["b"] or 0, totals["n"] or 0
-    kept = counts.where(F.col("n") * tokens >= n).collect() if n else []
-    size = len(kept) + 1
+    # A host may hold most of the urls: its tokens meet them here, and Spark can split it.
+    of_urls = urls.select("row", "host").join(of_hosts, "host").select("row", F.concat(F.lit("h:"), "word").alias("token"))
+    paths = urls.select("row", F.explode(_parts(F.lower("path"))).alias("label"))
+    part = F.when(is_number, _numbers(F.col("label"))).otherwise(F.col("label"))
+    return of_urls.unionByName(paths.select("row", F.concat(F.lit("p:"), part).alias("token")))
+
 
-    def odds(b: int, a: int) -> float:
-        return math.log((b + 1) / (blocked + size)) - math.log((a + 1) / (n - blocked + size))
+def token_odds(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """``token`` and its log ``odds`` of block against allow, and the odds of any other token.
 
-    rest = n - sum(r["n"] for r in kept)
-    rest_blocked = blocked - sum(r["blocked"] for r in kept)
-    return Bayes(prior, {r["token"]: odds(r["blocked"], r["n"] - r["blocked"]) for r in kept}, odds(rest_blocked, rest - rest_blocked))
+    Multinomial naive Bayes from ``token`` and ``verdict``, one row for each token of a
+    url, with one added to each count; one more token stands for all that were not seen.
+    """
+    blocks = (F.col("verdict") == BLOCK).cast("long")
+    counts = materialize(labelled.groupBy("token").agg(F.sum(blocks).alias("blocked"), F.count(F.lit(1)).alias("n")))
+    totals = counts.agg(F.sum("blocked").alias("b"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("size")).first()
+    blocked, n, size = totals["b"] or 0, totals["n"] or 0, totals["size"] + 1
+    base = math.log(n - blocked + size) - math.log(blocked + size)
+    odds = F.log(F.col("blocked") + 1) - F.log(F.col("n") - F.col("blocked") + 1) + F.lit(base)
+    return counts.select("token", odds.alias("odds")), base
 
 
 def judge(
@@ -170,7 +164,7 @@ def judge(
     url: str = "url",
     text: str = "text",
 ) -> DataFrame:
-    """The rows with ``host``, ``path``, ``rule``, ``verdict``, ``tokens`` and ``log_odds``.
+    """The rows with ``host``, ``path``, ``rule``, ``verdict``, ``n_tokens`` and ``log_odds``.
 
     A rule holds for its host and all subdomains where the path starts with its path; of
     several, the longest decides. Rows without a rule are blocked if their log odds are
@@ -178,26 +172,27 @@ def judge(
     judged by the prior. Words are learned from ``texts``, the classifier from the rows
     that have a rule. Columns of those names are replaced.
     """
-    new = ["host", "path", "rule", "verdict", "tokens", "log_odds"]
+    new = ["host", "path", "rule", "verdict", "n_tokens", "log_odds"]
     pages = pages.drop(*new)
-    parsed = pages.withColumns({"host": host(F.col(url)), "path": path(F.col(url))})
-    ruled = parsed.withColumn("rule", _longest_fit(rules)).withColumns(
-        {"verdict": F.col("rule.verdict"), "rule": F.col("rule.rule")}
+    parsed = pages.select(
+        packed(pages).alias("page"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = materialize(parsed.withColumn("fit", _longest_fit(rules)))
+    verdicts = rows.select("row", F.col("fit.verdict").alias("verdict")).where("verdict IS NOT NULL")
+    sizes = {r["verdict"]: r["count"] for r in verdicts.groupBy("verdict").count().collect()}
+    prior = math.log((sizes.get(BLOCK, 0) + 1) / (sizes.get(ALLOW, 0) + 1))
+    tokens = materialize(with_tokens(rows, materialize(word_counts(texts, text))))
+    odds, other = token_odds(tokens.join(verdicts, "row"))
+    # A url that repeats a token has it once here, with its number.
+    each = tokens.groupBy("row", "token").agg(F.count(F.lit(1)).alias("n"))
+    summed = (
+        each.join(odds, "token", "left").groupBy("row")
+        .agg(F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.coalesce("odds", F.lit(other))).alias("sum"))
+    )
+    log_odds = F.lit(prior) + F.coalesce("sum", F.lit(0.0))
+    told = F.when(log_odds > 0, BLOCK).otherwise(ALLOW)
+    return rows.join(summed, "row", "left").select(
+        "page.*", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", told).alias("verdict"),
+        F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), log_odds.alias("log_odds"),
     )
-    cut = materialize(with_tokens(ruled, word_scores(texts, text)))
-    model = fit(cut.where(F.col("verdict").isNotNull()).select("tokens", "verdict"))
-    # The tokens are bounded in number, see ``TOKENS``.
-    shared = pages.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bayes = shared.value
-        for batch in batches:
-            odds = [
-                bayes.prior + math.fsum(bayes.odds.get(t, bayes.rare) for t in tokens)
-                for tokens in batch.column("tokens").to_pylist()
-            ]
-            yield append_columns(batch, log_odds=pa.array(odds, pa.float64()))
-
-    scored = cut.mapInArrow(score, schema_with(cut, "log_odds double"))
-    told = F.when(F.col("log_odds") > 0, BLOCK).otherwise(ALLOW)
-    return scored.withColumn("verdict", F.coalesce("verdict", told)).select(*[f"`{n}`" for n in pages.columns], *new)

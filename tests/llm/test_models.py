@@ -3,11 +3,13 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from plain import ODD_TEXTS, best_cut, unigram_base, words
 from pyspark.sql import functions as F
 
@@ -162,29 +164,59 @@ def test_segments_are_the_best(spark):
     assert urlfilter.segment("townhouse", {"town": -1.0, "house": -1.0, "ho": -0.9, "use": -0.9}, 5) == ["town", "house"]
 
 
-def test_url_query_like_plain_bayes(spark):
-    found = QUERIES["op9_url_filter"](spark, FOLDER).collect()
-    texts = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    scores = urlfilter.word_scores(texts)
-    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url")
-    parsed = pages.select("page_id", urlfilter.host(F.col("url")).alias("host"), urlfilter.path(F.col("url")).alias("path"))
-    tokens = {r.page_id: r.tokens for r in urlfilter.with_tokens(parsed, scores).collect()}
-    assert len(found) == len(tokens)
-    label = {r.page_id: r.verdict for r in found if r.rule}
-    seen = {v: [t for i, x in label.items() if x == v for t in tokens[i]] for v in ("block", "allow")}
-    kept = set(seen["block"] + seen["allow"])
-    total = {v: len(seen[v]) + len(kept) + 1 for v in seen}
-    prior = math.log((list(label.values()).count("block") + 1) / (list(label.values()).count("allow") + 1))
+def plain_tokens(host, path, counts):
+    """Tokens of a url, its host cut under the counts of all words."""
+    total = sum(counts.values())
+    scores = {w: math.log(n / total) for w, n in counts.items()}
+    longest = max(map(len, scores), default=1)
+    unknown = min(scores.values(), default=0.0) - math.log(10)
+    out = []
+    for part in regex.findall(r"\p{L}+|\p{Nd}+", host):
+        out += ["h:" + w for w in ([f"#{len(part)}"] if part[0].isdigit() else urlfilter.segment(part, scores, longest, unknown))]
+    for part in regex.findall(r"\p{L}+|\p{Nd}+", path.lower()):
+        out.append("p:" + (f"#{len(part)}" if part[0].isdigit() else part))
+    return out
 
-    def odds(token):
-        return math.log((seen["block"].count(token) + 1) / total["block"]) - math.log(
-            (seen["allow"].count(token) + 1) / total["allow"])
 
+def held_to_plain_bayes(found, texts):
+    counts = Counter(w for t in texts for w in regex.findall(r"\p{L}+", (t or "").lower()))
+    tokens = {r.page_id: plain_tokens(r.host, r.path, counts) for r in found}
+    label = {r.page_id: r.verdict for r in found if r.rule}
+    seen = {v: Counter(t for i, x in label.items() if x == v for t in tokens[i]) for v in ("block", "allow")}
+    size = len(set(seen["block"]) | set(seen["allow"])) + 1
+    total = {v: sum(c.values()) + size for v, c in seen.items()}
+    prior = math.log((list(label.values()).count("block") + 1) / (list(label.values()).count("allow") + 1))
     for r in found:
-        assert r.log_odds == pytest.approx(prior + sum(map(odds, tokens[r.page_id])))
+        odds = sum(math.log((seen["block"][t] + 1) / total["block"]) - math.log((seen["allow"][t] + 1) / total["allow"])
+                   for t in tokens[r.page_id])
+        assert r.n_tokens == len(tokens[r.page_id])
+        assert r.log_odds == pytest.approx(prior + odds)
         assert r.rule or r.verdict == ("block" if r.log_odds > 0 else "allow")
 
 
+def test_url_query_like_plain_bayes(spark):
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url")
+    held_to_plain_bayes(urlfilter.judge(pages, spark.createDataFrame([(t,) for t in texts], "text string")).collect(), texts)
+    assert len(QUERIES["op9_url_filter"](spark, FOLDER).collect()) == pages.count()
+
+
+def test_rare_words_and_tokens_count(spark):
+    """A word seen once in a large corpus cuts a host, and a token seen once tells a verdict."""
+    texts = [" ".join(["house", "town"] * 50_000), "straße quokka"]
+    urls = ["x://quokkahouse.org/a", "x://straßetown.org/b", "x://quokkatown.net/es/zebra", *["x://town.net/fr/u"] * 40,
+            *["x://house.com/v"] * 60, "x://a.org/zebra", "x://a.org/v", "x://a.org/v/v/zebra/17/4", "x://" + "h" * 300 + ".org"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"row": F.lit(1), "label": F.lit("mine"), "fit": F.lit(2)})
+    found = urlfilter.judge(pages, spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert found.columns == [*pages.columns, "host", "path", "rule", "verdict", "n_tokens", "log_odds"]
+    rows = found.collect()
+    held_to_plain_bayes(rows, texts)
+    got = {r.url: r for r in rows}
+    assert got["x://quokkahouse.org/a"].n_tokens == 6
+    # Equal but for one token; that of the first was seen once, in a blocked url.
+    assert got["x://a.org/zebra"].log_odds > got["x://a.org/v"].log_odds + 2
+
+
 # ---- context-tree weighting ----
 
 
