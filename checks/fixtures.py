@@ -228,13 +228,17 @@ DEFINITIONS = {
                     ' an ', cast(y - 1787 AS string), ', chez l''auteur') END AS front_matter
         FROM {d_parts}""",
     # ---- text corpus: one document is a pamphlet with OCR text and metadata XML ----
-    "t_ocr": """
-        SELECT cast(doc_id AS string) AS document_id,
+    "t_texts": """
+        SELECT cast(doc_id AS string) AS document_id, source,
             concat('ocr/', cast(doc_id AS string), '_djvu.txt') AS file_path,
             CASE source WHEN 'src3' THEN concat(text, ' Ã‚ ï¿½') WHEN 'src5' THEN ''
                 WHEN 'src6' THEN concat(chr(32), chr(10), text, chr(9)) ELSE text END AS raw_text,
             'ocr_text' AS source_file_type
-        FROM {documents} WHERE source <> 'src7'""",
+        FROM {documents}""",
+    # Texts for left joins: one source has metadata alone.
+    "t_ocr": """
+        SELECT document_id, file_path, raw_text, source_file_type FROM {t_texts}
+        WHERE source IS DISTINCT FROM 'src7'""",
     "t_parts": """
         SELECT cast(d.doc_id AS string) AS document_id, d.lang, d.source, l.quality, l.toxic,
             1789 + d.n_chars % 11 AS y, 1 + d.n_chars % 12 AS m, 1 + d.n_chars % 31 AS d

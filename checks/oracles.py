@@ -228,7 +228,7 @@ ORACLES["fact_documents"] = "SELECT * FROM {o_facts}"
 
 # ---- texts ----
 
-TABLES["o_text"] = r"""
+_TEXT = r"""
     SELECT *, CASE WHEN character_count = 0 THEN 'empty_text' WHEN word_count < 100 THEN 'very_short_text'
         WHEN contains_encoding_artifacts THEN 'possible_encoding_artifacts' ELSE 'usable' END
         AS ocr_quality_flag
@@ -238,7 +238,9 @@ TABLES["o_text"] = r"""
                 AS word_count,
             regexp_matches(raw_text, 'Ãƒ|Ã‚|Ã¢â‚¬|ï¿½') AS contains_encoding_artifacts
         FROM (SELECT *, trim(regexp_replace(raw_text, '\s+', ' ', 'g')) AS clean_text FROM {t_ocr}))"""
-ORACLES["text_clean"] = "SELECT * EXCLUDE (raw_text) FROM {o_text}"
+TABLES["o_text"] = _TEXT
+TABLES["o_whole_text"] = _TEXT.replace("{t_ocr}", "(SELECT * EXCLUDE (source) FROM {t_texts})")
+ORACLES["text_clean"] = "SELECT * EXCLUDE (raw_text) FROM {o_whole_text}"
 TABLES["o_facts_text"] = """
     SELECT f.* EXCLUDE (included_in_analysis_flag), coalesce(word_count, 0) AS word_count,
         coalesce(character_count, 0) AS character_count,
@@ -254,7 +256,7 @@ ORACLES["text_quality_summary"] = """
         quantile_disc(word_count, 0.5) AS median_word_count,
         round(avg(word_count), 9) AS avg_word_count, max(word_count) AS max_word_count,
         count(*) FILTER (contains_encoding_artifacts) AS documents_with_encoding_artifacts
-    FROM {o_text} GROUP BY 1"""
+    FROM {o_whole_text} GROUP BY 1"""
 
 # ---- date candidates ----
 
@@ -547,7 +549,7 @@ ORACLES["scan_metadata_files"] = (
     "SELECT document_id, raw_metadata_xml FROM {t_metadata}"
 )
 ORACLES["scan_ocr_files"] = (
-    "SELECT document_id, raw_text, source_file_type FROM {t_ocr}"
+    "SELECT document_id, raw_text, source_file_type FROM {t_texts}"
 )
 ORACLES["write_nonempty"] = """
     SELECT * REPLACE (cast(publication_date AS varchar) AS publication_date) FROM {m_dates}

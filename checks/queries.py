@@ -58,7 +58,7 @@ def _write_files(rows: DataFrame, text: str, folder: str, suffix: str) -> None:
         for batch in batches:
             for name, content in zip(batch["document_id"], batch[text]):
                 with store.open_output_stream(f"{base}/{name}{suffix}") as out:
-                    out.write(content.encode("utf-8"))
+                    out.write((content or "").encode("utf-8"))
             yield batch[["document_id"]]
 
     rows.select("document_id", text).mapInPandas(write, "document_id string").count()
@@ -77,7 +77,7 @@ def scan_metadata_files(fx):
 @query
 def scan_ocr_files(fx):
     folder = _scratch(fx.spark, "ocr")
-    _write_files(fx.t_ocr, "raw_text", folder, files.OCR_SUFFIX)
+    _write_files(fx.t_texts, "raw_text", folder, files.OCR_SUFFIX)
     scanned = files.read_ocr_text_files(fx.spark, folder)
     return scanned.select("document_id", "raw_text", "source_file_type")
 
@@ -231,7 +231,7 @@ def fact_documents(fx):
 
 @query
 def text_clean(fx):
-    return texts.clean_document_text(fx.t_ocr).drop("raw_text")
+    return texts.clean_document_text(fx.t_texts).drop("raw_text", "source")
 
 
 @query
@@ -242,7 +242,7 @@ def fact_documents_text(fx):
 
 @query
 def text_quality_summary(fx):
-    return texts.text_quality_summary(texts.clean_document_text(fx.t_ocr))
+    return texts.text_quality_summary(texts.clean_document_text(fx.t_texts))
 
 
 # ---- date candidates and selection ----
