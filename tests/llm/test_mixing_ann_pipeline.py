@@ -10,7 +10,7 @@ import pytest
 from plain import near_duplicates, words
 from pyspark.sql import functions as F
 
-from rostra.llm import ann, mixing
+from rostra.llm import ann, linededup, mixing, simhash
 from rostra.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -133,6 +133,36 @@ def test_recall(spark, monkeypatch):
     assert hits >= 0.9 * 5 * len(asked)
 
 
+def test_repeated_rows_of_the_neighbours(spark):
+    """Copies of a query ask once, copies of a candidate count once."""
+    pick = np.random.default_rng(8)
+    vectors = {i: pick.standard_normal(6).tolist() for i in range(120)}
+    rows = list(vectors.items()) + [(50, vectors[50])] * 4 + [(i, vectors[i]) for i in range(40)] * 3
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                       F.pmod(F.col("vec_id"), F.lit(50)) == 0, coverage=1.0).collect()
+    want = neighbours(vectors, [0, 50, 100])
+    assert {(r.query_id, r["rank"]): r.vec_id for r in found} == {(q, k + 1): i for q in want for k, (_, i) in enumerate(want[q])}
+    assert len(found) == 15
+
+
+NAMES = ["id", "_id", "content", "_content", "cut", "_cut", "gone", "row", "kept", "_kept", "of", "_of", "own", "place", "below",
+         "_below", "whole", "_whole", "bucket", "node", "group", "lines", "leaf", "same"]
+
+
+def test_columns_of_the_caller_do_not_clash(spark):
+    """Operators that pass rows on keep columns that are called like their own."""
+    texts = ["one two three four five six", "one two three four five six", "another line of some length here\nshort", None, ""]
+    rows = spark.createDataFrame([(i, t, "s", 10 + i) for i, t in enumerate(texts)], "doc_id long, text string, source string, n long")
+    wide = rows.select("doc_id", "text", "source", *[F.col("n").alias(name) for name in NAMES])
+    for operator in (linededup.drop_recurring_lines, simhash.keep_one, mixing.mix, lambda d: mixing.repeated(mixing.mix(d))):
+        plain = {r.doc_id: r.text for r in operator(rows.drop("n")).collect()}
+        found = operator(wide)
+        assert found.columns[: len(wide.columns)] == wide.columns
+        got = found.collect()
+        assert {r.doc_id: r.text for r in got} == plain
+        assert all(r[name] == 10 + r.doc_id for r in got for name in NAMES)
+
+
 # ---- pipeline ----
 
 

@@ -71,6 +71,50 @@ def test_the_sample_is_bounded(spark):
     assert len(one.centroids) <= 8
 
 
+def plain_grams(text, dimensions):
+    """Counts of the numbers of all pairs and triples of bytes, A-Z lowered, other ASCII but letters as spaces."""
+    fold = [c + 32 if 65 <= c <= 90 else 32 if c < 128 and not 97 <= c <= 122 else c for c in text.encode()]
+    mask, shift = 0xFFFFFFFF, 32 - dimensions.bit_length() + 1
+    out = Counter()
+    for at in range(len(fold) - 1):
+        two = (fold[at] * 0x9E3779B1 + fold[at + 1] * 0x85EBCA77) & mask
+        out[(two * 0x9E3779B1 & mask) >> shift] += 1
+        if at + 2 < len(fold):
+            three = ((two ^ 0x27D4EB2F) * 0xC2B2AE3D + fold[at + 2] * 0x165667B1) & mask
+            out[(three * 0x9E3779B1 & mask) >> shift] += 1
+    return out
+
+
+def test_predictions_like_plain_tf_idf(spark):
+    """Weights from plain document frequencies, and the nearest centroid by a loop over all of them."""
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").limit(120).collect()
+    docs = [(r.doc_id, r.text[:1500], r.lang) for r in rows] + [(-1, "", "en"), (-2, "x", "fr"), (-3, "Straße übers Meer", "de")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    size = len(model.weights)
+    grams = [plain_grams(t, size) for _, t, _ in docs]
+    held = Counter(g for c in grams for g in c)
+    for g in [*list(held)[:400], 5, 77]:
+        assert model.weights[g] == pytest.approx(math.log((1 + len(docs)) / (1 + held[g])) + 1, rel=1e-5)
+    found = {r.doc_id: r for r in langid.predict(frame, model).collect()}
+    checked = 0
+    for (i, text, _), counts in zip(docs, grams):
+        if not any(c.isalpha() for c in text):
+            assert found[i].lang_pred == "und"
+            continue
+        vector = {g: math.sqrt(n) * float(model.weights[g]) for g, n in counts.items()}
+        length = math.sqrt(sum(v * v for v in vector.values())) or 1.0
+        cosines = [sum(v * float(c[g]) for g, v in vector.items()) / length for c in model.centroids]
+        best = max(cosines)
+        assert found[i].score == pytest.approx(min(max(best, 0), 1), abs=1e-4)
+        if sorted(cosines)[-2] < best - 1e-4:
+            assert found[i].lang_pred == model.languages[cosines.index(best)]
+            checked += 1
+        if abs(best - model.least) > 1e-4:
+            assert found[i].rejected == (best < model.least)
+    assert checked > 100
+
+
 # ---- token counts ----
 
 
