@@ -708,10 +708,15 @@ def star_before(fx) -> incremental.Star:
     )
 
 
+def stored(s: incremental.Star) -> incremental.Star:
+    """The star as stages before leave it: tables that are stored."""
+    return incremental.Star(**{table: materialize(rows) for table, rows in vars(s).items()})
+
+
 def _refreshed(name: str) -> Callable[[Fixtures], DataFrame]:
     def run(fx):
         """A gold table built from the star before and brought to the star of now."""
-        before, after = star_before(fx), star(fx)
+        before, after = stored(star_before(fx)), stored(star(fx))
         tables = incremental.GoldTables(fx.spark, _scratch(fx.spark, "gold"), (name,))
         tables.build(before)
         tables.refresh(before, after, incremental.changed_documents(before, after))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures
-from checks.queries import star, star_before
+from checks.queries import star, star_before, stored
 from rostra.plans import gold, incremental
 from rostra.sources.parts import PARTS, PartedTable, key_hash
 
@@ -109,7 +109,7 @@ def test_one_file_for_a_small_part(spark, tmp_path):
 @pytest.fixture(scope="module")
 def stars(spark):
     fx = Fixtures(spark, FOLDER)
-    return star_before(fx), star(fx)
+    return stored(star_before(fx)), stored(star(fx))
 
 
 def same(left, right):
