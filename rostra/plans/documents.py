@@ -14,6 +14,7 @@ RULE_EXTRACTOR = "rule_based_metadata_title_ocr"
 RULE_EXTRACTOR_VERSION = "1"
 UNKNOWN = "Unknown"
 
+# Columns of a date.
 DATE_COLUMNS = [
     "publication_year",
     "publication_month",
@@ -80,6 +81,7 @@ def parsed_documents(
 
 
 def dim_documents(parsed: DataFrame) -> DataFrame:
+    # Columns of the document dimension, in order.
     return parsed.select(
         "document_id",
         "metadata_document_id",
@@ -106,6 +108,7 @@ def dim_documents(parsed: DataFrame) -> DataFrame:
 def dim_dates(dated: DataFrame) -> DataFrame:
     """One row per distinct date among rows that carry ``date_key`` and date columns."""
     dates = dated.select("date_key", *DATE_COLUMNS).distinct()
+    # Names of the label and flags.
     return dates.select(
         "*",
         period_label(F.col("publication_year"), F.col("publication_month")).alias("period_label"),
@@ -260,6 +263,7 @@ def rule_date_candidates(parsed: DataFrame, excerpt_characters: int | None = Non
 def fact_documents(parsed: DataFrame) -> DataFrame:
     parsed_ok = F.col("metadata_parse_status") == "success"
     has_year = F.col("publication_year").isNotNull()
+    # Names and rules of the document flags.
     return parsed.select(
         "document_id",
         "date_key",

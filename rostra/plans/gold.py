@@ -24,6 +24,7 @@ from rostra.operators.joins import join_bridge_expand, join_star_left
 from rostra.operators.ranking import ranked_in_groups
 from rostra.plans.documents import DATE_COLUMNS, UNKNOWN
 
+# Fixed values, down to the shares: names of keys, attributes and measures of the gold tables.
 PERIOD = ["period_label", "publication_year", "publication_month"]
 FIGURE = ["figure_id", "canonical_name"]
 
