@@ -6,10 +6,14 @@ training texts. The weighted probability of a node is half its own and half the
 of its children's, so a prediction mixes the estimates of all depths on its path by how
 well each explains the training texts.
 
-Visits are counted over all training texts. A node enters the tree if it has at least
-one in ``support`` of all visits, so at most ``support`` nodes exist for each depth and
-decision: the tree can be broadcast whatever the corpus. Visits of other children are
-pooled in one child, so that the mixture stays a probability.
+``score`` keeps every context that a training text visited. The tree is never in one
+place: a path is written nearest byte first, so the contexts that share their two nearest
+bytes are a subtree, and each subtree is a group of its own. Only the levels above are
+shared, which the number of bytes bounds and not the corpus.
+
+``fit`` makes a tree for one process instead. There a node has at least one in
+``support`` of all visits, and visits of other children are pooled in one child, so that
+the mixture stays a probability.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,13 +32,17 @@ from pyspark.sql import functions as F
 from rostra.llm.common import blocks, byte_view, lower_table
 from rostra.sources.tables import materialize
 
-DEPTH = 4
+DEPTH = 5
 SUPPORT = 1 << 17
 # A byte that UTF-8 never has ends every text, and a zero byte stands before its first.
 _END, _START = 255, 0
 # Bytes of text that make one row of the intermediate table, and whose grams are worked
 # on at once.
-_BLOCK, _PART = 6_000_000, 1_000_000
+_BLOCK, _PART = 12_000_000, 1_000_000
+# Nearest bytes of a context that name its subtree.
+_TOP = 2
+# Groups that the subtrees are dealt to; most have few paths.
+_GROUPS = 512
 # Distinct grams that a task gathers before it sends them on.
 _HELD = 2_000_000
 _CACHE_BITS = 21
@@ -41,7 +50,15 @@ _CACHE_BITS = 21
 
 def _grams(column: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Packed grams (``depth`` bytes and the byte after them) of all positions, and their row."""
-    data, offsets = byte_view(column)
+    return _packed(*byte_view(column), depth, [8 * back for back in range(depth + 1)])
+
+
+def _paths(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams with their context nearest byte first, so that a shorter context is a prefix."""
+    return _packed(data, offsets, depth, [0, *[8 * (depth + 1 - back) for back in range(1, depth + 1)]])
+
+
+def _packed(data: np.ndarray, offsets: np.ndarray, depth: int, shifts: list[int]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(offsets)
     n = len(lengths)
     row = np.repeat(np.arange(n), lengths + 1)
@@ -53,7 +70,7 @@ def _grams(column: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(len(row)) + np.repeat(np.arange(1, n + 1) * depth, lengths + 1)
     grams = np.zeros(len(line), np.uint64)
     for back in range(depth, -1, -1):
-        grams[depth:] |= line[depth - back : len(line) - back].astype(np.uint64) << np.uint64(8 * back)
+        grams[depth:] |= line[depth - back : len(line) - back].astype(np.uint64) << np.uint64(shifts[back])
     return grams[at], row
 
 
@@ -187,7 +204,10 @@ def _insert(table: np.ndarray, values: np.ndarray, keys: np.ndarray, ones: np.nd
 
 
 def fit(training: DataFrame, text: str = "text", depth: int = DEPTH, support: int = SUPPORT) -> Tree:
-    """Count the training texts and mix their tree. Null texts count as empty."""
+    """Count the training texts and mix a tree that is small enough for one process, see above.
+
+    Null texts count as empty.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -279,9 +299,192 @@ class _Scorer:
 
 
 _ROW = (
-    "block long, row binary, words array<binary>, trained array<long>, codes binary, sizes binary, "
-    "score binary, bytes binary"
+    "block long, row binary, words array<binary>, trained array<long>, "
+    "packs array<struct<context:int,data:binary>>, text binary, sizes binary"
 )
+_PACK = pa.list_(pa.struct([("context", pa.int32()), ("data", pa.binary())]))
+
+
+def _pack(paths: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending paths and their training visits; bytes of one place lie together, as most are zero."""
+    both = np.stack([np.diff(paths, prepend=np.uint64(0)), n.astype(np.uint64)])
+    return zstandard.ZstdCompressor(level=1).compress(both.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes())
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    apart = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(2, 8, -1)
+    steps, n = np.ascontiguousarray(apart.transpose(0, 2, 1)).view(np.uint64)[..., 0]
+    return np.cumsum(steps, dtype=np.uint64), n.astype(np.int64)
+
+
+def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about ``_PART`` bytes together."""
+    start = 0
+    while start < len(offsets) - 1:
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + _PART, side="right")) - 1)
+        yield start, stop
+        start = stop
+
+
+def _visits(data: np.ndarray, offsets: np.ndarray, trains: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct paths of a block, ascending, and how often its training rows visit each."""
+    found, counts = [], []
+    for start, stop in _parts(offsets):
+        paths, row = _paths(data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start], depth)
+        # A path has at most seven bytes, so the mark of its row fits beside it.
+        marked = paths << np.uint64(1) | trains[start:stop][row].astype(np.uint64)
+        marked.sort()
+        distinct, n = _sums(marked >> np.uint64(1), (marked & np.uint64(1)).astype(np.int64))
+        found.append(distinct)
+        counts.append(n)
+    return _merged(found, counts)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Words of a block in the order they come first, the word at every place, and words per row."""
+    codes: dict[bytes, int] = {}
+    whole, coded, sizes = data.tobytes(), [], []
+    for start, stop in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        words = whole[start:stop].lower().split()
+        coded.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int32, len(words)))
+        sizes.append(len(words))
+    return codes, np.concatenate(coded), np.array(sizes, np.int64)
+
+
+def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys of an ascending array, and the sums of the values of each."""
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
+    return keys[starts], *[np.add.reduceat(v, starts) if len(starts) else v for v in values]
+
+
+def _merged(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct paths of several lists, ascending, and the sums of their visits."""
+    paths, n = np.concatenate(found), np.concatenate(counts)
+    order = np.argsort(paths, kind="stable")
+    return _sums(paths[order], n[order])
+
+
+def _decision(paths: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Context and node of the i-th decision, which ascend with the paths, and its bit."""
+    byte = paths & np.uint64(255)
+    node = np.uint64(1 << i) | byte >> np.uint64(8 - i)
+    return paths & ~np.uint64(255) | node, byte >> np.uint64(7 - i) & np.uint64(1)
+
+
+def _subtree(paths: np.ndarray, n: np.ndarray, depth: int) -> list[list[dict[str, np.ndarray]]]:
+    """Levels from ``_TOP`` to ``depth`` for each of the eight decisions, weighted from the leaves up."""
+    shorter = []
+    for d in range(_TOP, depth + 1):
+        cut = (paths >> np.uint64(8 * (depth - d + 1))) << np.uint64(8) | paths & np.uint64(255)
+        order = np.argsort(cut, kind="stable")
+        shorter.append(_sums(cut[order], n[order]))
+    decisions = []
+    for i in range(8):
+        levels = []
+        for cut, visits in shorter:
+            keys, bit = _decision(cut, i)
+            keys, zeros, ones = _sums(keys, visits * (bit == 0), visits * (bit == 1))
+            level = {"keys": keys, "zeros": zeros, "ones": ones, "own": kt(zeros.astype(float), ones.astype(float))}
+            level["estimate"] = (ones + 0.5) / (zeros + ones + 1)
+            if levels:
+                above = (keys >> np.uint64(16)) << np.uint64(8) | keys & np.uint64(255)
+                level["parent"] = np.searchsorted(levels[-1]["keys"], above)
+            levels.append(level)
+        levels[-1]["weighted"] = levels[-1]["own"]
+        for level, child in zip(levels[-2::-1], levels[:0:-1]):
+            below = np.bincount(child["parent"], child["weighted"], minlength=len(level["keys"]))
+            level["weighted"] = np.logaddexp(level["own"], below) - math.log(2)
+        decisions.append(levels)
+    return decisions
+
+
+@dataclass(frozen=True)
+class _Upper:
+    """Depths 0 and 1, by the nearest byte and node: what is mixed so far, the share left to
+    deeper contexts, and the probability of a one where no deeper context was visited."""
+
+    mixed: np.ndarray
+    left: np.ndarray
+    one: np.ndarray
+
+
+def _mix_upper(nodes: pa.Table) -> _Upper:
+    """Mix the sums over the subtrees (``near``, ``node``, ``zeros``, ``ones``, ``below``)."""
+    near, node = nodes["near"].to_numpy(), nodes["node"].to_numpy()
+    zeros, ones, below = (np.zeros((256, 256)) for _ in range(3))
+    for grid, name in ((zeros, "zeros"), (ones, "ones"), (below, "below")):
+        grid[near, node] = nodes[name].to_numpy()
+
+    def level(zeros, ones, below):
+        own = kt(zeros, ones)
+        weighted = np.logaddexp(own, below) - math.log(2)
+        return weighted, np.exp(own - math.log(2) - weighted), (ones + 0.5) / (zeros + ones + 1)
+
+    # A node without visits has the log probability 0 on both sides.
+    weighted, stop, estimate = level(zeros, ones, below)
+    _, stop0, estimate0 = level(zeros.sum(0), ones.sum(0), np.where(zeros + ones > 0, weighted, 0).sum(0))
+    mixed, left = stop0 * estimate0, 1 - stop0
+    one = np.where(zeros + ones > 0, mixed + left * estimate, estimate0)
+    return _Upper(mixed + left * stop * estimate, left * (1 - stop), one)
+
+
+def _log10(asked: np.ndarray, n: np.ndarray, depth: int, upper: _Upper) -> np.ndarray:
+    """Log10 probabilities of the ascending paths of whole subtrees, all levels mixed."""
+    total = np.zeros(len(asked))
+    near = asked >> np.uint64(8 * depth)
+    seen = n > 0
+    decisions = _subtree(asked[seen], n[seen], depth)
+    for i, levels in enumerate(decisions):
+        node, bit = _decision(asked, i)
+        one = upper.one[near, node & np.uint64(255)]
+        mixed = left = None
+        for d, level in enumerate(levels, _TOP):
+            if not len(level["keys"]):
+                break
+            if mixed is None:
+                above = level["keys"] >> np.uint64(16), level["keys"] & np.uint64(255)
+                before, part = upper.mixed[above], upper.left[above]
+            else:
+                before, part = mixed[level["parent"]], left[level["parent"]]
+            stop = np.ones(len(before)) if d == depth else np.exp(level["own"] - math.log(2) - level["weighted"])
+            mixed, left = before + part * stop * level["estimate"], part * (1 - stop)
+            value = mixed + left * level["estimate"]
+            keys = (asked >> np.uint64(8 * (depth - d + 1))) << np.uint64(8) | node & np.uint64(255)
+            at = np.minimum(np.searchsorted(level["keys"], keys), len(level["keys"]) - 1)
+            one = np.where(level["keys"][at] == keys, value[at], one)
+        total += np.log10(np.where(bit == 1, one, 1 - one))
+    return total
+
+
+def _path_scores(packs: DataFrame, depth: int) -> DataFrame:
+    """``of``, ``context`` and ``logs`` of the packs: log10 probabilities of their paths under
+    the tree of all of them."""
+
+    def count(packs: pa.Table) -> pa.Table:
+        paths, n = _merged(*zip(*[_unpack(pack.as_py()) for pack in packs["data"]]))
+        out: dict[str, list[np.ndarray]] = {name: [] for name in ("near", "node", "zeros", "ones", "below")}
+        for top, *_ in _subtree(paths[n > 0], n[n > 0], depth):
+            out["near"].append((top["keys"] >> np.uint64(16)).astype(np.int32))
+            out["node"].append((top["keys"] & np.uint64(255)).astype(np.int32))
+            for name, column in (("zeros", "zeros"), ("ones", "ones"), ("below", "weighted")):
+                out[name].append(top[column])
+        return pa.table({name: np.concatenate(values) for name, values in out.items()})
+
+    # A number of partitions of its own: packs are small for the work they are.
+    partitions = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packs.withColumn("group", F.pmod(F.hash("context"), F.lit(_GROUPS))).repartition(partitions, "group")
+    nodes = dealt.groupBy("group").applyInArrow(count, "near int, node int, zeros long, ones long, below double")
+    # At most 256 bytes with 255 nodes each, whatever the corpus.
+    sums = nodes.groupBy("near", "node").agg(*[F.sum(name).alias(name) for name in ("zeros", "ones", "below")])
+    shared = packs.sparkSession.sparkContext.broadcast(_mix_upper(sums.toArrow()))
+
+    def look_up(packs: pa.Table) -> pa.Table:
+        distinct, n = _merged(*zip(*[_unpack(pack.as_py()) for pack in packs["data"]]))
+        logs = _log10(distinct, n, depth, shared.value).astype(np.float32)
+        found = [logs[np.searchsorted(distinct, _unpack(pack.as_py())[0])].tobytes() for pack in packs["data"]]
+        return pa.table({"of": packs["of"], "context": packs["context"], "logs": pa.array(found, pa.binary())})
+
+    return dealt.groupBy("group").applyInArrow(look_up, "of long, context int, logs binary")
 
 
 def score(
@@ -290,7 +493,6 @@ def score(
     doc_id: str = "doc_id",
     text: str = "text",
     depth: int = DEPTH,
-    support: int = SUPPORT,
 ) -> DataFrame:
     """Scores of all texts under models learned from those of ``is_training``.
 
@@ -302,54 +504,49 @@ def score(
     are the tokens that occur in training, the end included once there is a training
     text. Without training rows all counts are 0 and every bit is even.
     """
+    if not _TOP <= depth <= 6:
+        raise ValueError(f"depth must be from {_TOP} to 6")
     marked = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(is_training, F.lit(False)).alias("trains")
     )
-    tree = fit(marked.where("trains"), "text", depth, support)
-    # Bounded by the support, see ``fit``.
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        scorer, squeeze = _Scorer(shared.value), zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         number = TaskContext.get().partitionId() << 32
         for block in blocks(batches, "text", _BLOCK):
+            data, offsets = byte_view(block.column("text"))
             trains = block.column("trains").to_numpy(zero_copy_only=False)
-            scores = []
-            for part in blocks(iter([block]), "text", _PART):
-                grams, row = _grams(part.column("text"), depth)
-                scores.append(np.bincount(row, scorer.log10(grams), minlength=part.num_rows))
-            codes: dict[bytes, int] = {}
-            coded, sizes = [], []
-            for value in block.column("text").to_pylist():
-                words = (value or "").encode("utf-8", "surrogatepass").lower().split()
-                coded.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int32, len(words)))
-                sizes.append(len(words))
-            flat = np.concatenate(coded)
-            learned = np.repeat(trains, sizes)
-            trained = np.bincount(flat[learned], minlength=len(codes))
+            paths, n = _visits(data, offsets, trains, depth)
+            context = (paths >> np.uint64(8 * (depth + 1 - _TOP))).astype(np.int32)
+            starts = np.flatnonzero(np.diff(context, prepend=-1))
+            packs = [
+                {"context": context[start], "data": _pack(paths[start:stop], n[start:stop])}
+                for start, stop in zip(starts, [*starts[1:], len(paths)])
+            ]
+            codes, flat, sizes = _words(data, offsets)
+            trained = np.bincount(flat[np.repeat(trains, sizes)], minlength=len(codes))
             ids = block.column("doc_id")
             known = np.where(ids.is_null().to_numpy(zero_copy_only=False), -1, 0)
             rows = np.stack([
                 ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), trains.astype(np.int64), known.astype(np.int64)
             ])
-            _, offsets = byte_view(block.column("text"))
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([number], pa.int64()),
                     "row": pa.array([rows.tobytes()], pa.binary()),
                     "words": pa.array([list(codes)], pa.list_(pa.binary())),
                     "trained": pa.array([trained.tolist()], pa.list_(pa.int64())),
-                    "codes": pa.array([squeeze.compress(flat.astype(np.int32).tobytes())], pa.binary()),
-                    "sizes": pa.array([np.array(sizes, np.int64).tobytes()], pa.binary()),
-                    "score": pa.array([np.concatenate(scores).tobytes()], pa.binary()),
-                    "bytes": pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
+                    "packs": pa.array([packs], _PACK),
+                    "text": pa.array([squeeze.compress(data.tobytes())], pa.binary()),
+                    "sizes": pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
                 }
             )
             number += 1
 
     coded = materialize(marked.mapInArrow(cut, _ROW))
+    packs = coded.select(F.col("block").alias("of"), F.inline("packs"))
     words = coded.select(
         F.col("block").alias("of"), F.posexplode(F.arrays_zip("words", "trained")).alias("code", "x")
     ).select("of", "code", F.col("x.words").alias("word"), F.col("x.trained").alias("trained"))
@@ -358,20 +555,35 @@ def score(
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = marked.where("trains").count()
     n_tokens, vocabulary = (total["n"] or 0) + ends, total["v"] + (ends > 0)
-    looked_up = words.join(counts, "word", "left").select("of", "code", F.coalesce("c", F.lit(0)).alias("c"))
+    # A word that does not come back has no count.
+    looked_up = words.join(counts, "word").select("of", "code", "c", F.lit(None).cast("binary").alias("logs"))
+    # Rows of a block: its words with their counts, and its subtrees (count -1) with their logs.
+    found = looked_up.unionByName(
+        _path_scores(packs, depth).select("of", F.col("context").alias("code"), F.lit(-1).cast("long").alias("c"), "logs")
+    )
 
     def sums(texts: pa.Table, found: pa.Table) -> pa.Table:
         out: dict[str, list] = {name: [] for name in _RESULT}
+        is_word = pc.greater_equal(found["c"], 0)
+        of_words, of_paths = found.filter(is_word), found.filter(pc.invert(is_word)).sort_by("code")
+        logs = np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in of_paths["logs"]])
         for block in texts.to_pylist():
             ids, trains, missing = np.frombuffer(block["row"], np.int64).reshape(3, -1)
-            codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block["codes"]), np.int32)
-            sizes = np.frombuffer(block["sizes"], np.int64)
-            c = np.zeros(found.num_rows, np.int64)
-            c[found["code"].to_numpy()] = found["c"].to_numpy()
+            data = np.frombuffer(zstandard.ZstdDecompressor().decompress(block["text"]), np.uint8)
+            length = np.frombuffer(block["sizes"], np.int64)
+            offsets = np.concatenate([[0], np.cumsum(length)])
+            paths, _ = _visits(data, offsets, trains == 1, depth)
+            score_ = np.zeros(len(ids))
+            for start, stop in _parts(offsets):
+                own, row = _paths(data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start], depth)
+                order = np.argsort(own)
+                score_[start:stop] = np.bincount(row[order], logs[np.searchsorted(paths, own[order])], minlength=stop - start)
+            distinct, codes, sizes = _words(data, offsets)
+            c = np.zeros(len(distinct), np.int64)
+            c[of_words["code"].to_numpy()] = of_words["c"].to_numpy()
             row = np.repeat(np.arange(len(ids)), sizes)
             below = n_tokens + vocabulary + 1
             base = np.bincount(row, np.log10((c[codes] + 1) / below), minlength=len(ids))
-            score_, length = np.frombuffer(block["score"]), np.frombuffer(block["bytes"], np.int64)
             out["doc_id"] += [None if gone else i for i, gone in zip(ids.tolist(), missing.tolist())]
             out["held_out"] += (trains == 0).tolist()
             out["n_tokens"] += (sizes + 1).tolist()
@@ -384,9 +596,9 @@ def score(
         return pa.table(out, schema=pa.schema([(n, _RESULT[n]) for n in _RESULT]))
 
     return (
-        coded.select("block", "row", "codes", "sizes", "score", "bytes")
+        coded.select("block", "row", "text", "sizes")
         .groupBy("block")
-        .cogroup(looked_up.groupBy("of"))
+        .cogroup(found.groupBy("of"))
         .applyInArrow(
             sums,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

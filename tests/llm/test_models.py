@@ -380,3 +380,37 @@ def test_cached_scores_are_those_of_the_tree(monkeypatch):
     for _ in range(20):
         grams = pick.integers(0, 256, 50).astype(np.uint64)
         assert np.allclose(scorer.log10(grams), tree.log10(grams))
+
+
+def test_scores_use_every_context_of_training(spark, monkeypatch):
+    """Rare contexts count as frequent ones do, and far more visits make no probability zero."""
+    monkeypatch.setattr(ctw, "_BLOCK", 300)
+    texts = ["the cat sat on the mat " * 4, "qzx", "éa", "", "e" * 280_000]
+    asked = ["qzx", "qzy", "the mat", "éé", "\x01"]
+    depth = 2
+    visits, one = plain_tree([t.encode() for t in texts], depth)
+    docs = [(i, t, True) for i, t in enumerate(texts)] + [(100 + i, t, False) for i, t in enumerate(asked)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, trains boolean").repartition(3)
+    found = {r.doc_id: r for r in ctw.score(frame, F.col("trains"), depth=depth).collect()}
+    for i, text, trains in docs:
+        line, want = bytes(depth) + text.encode() + b"\xff", 0.0
+        for at in range(depth, len(line)):
+            for k in range(8):
+                node, bit = (1 << k) | line[at] >> (8 - k), line[at] >> (7 - k) & 1
+                p = 0.5 if (b"", node) not in visits else one(line[at - depth : at][::-1], node)
+                want += math.log10(p if bit else 1 - p)
+        assert found[i].score == pytest.approx(want, rel=1e-5) and found[i].held_out == (not trains)
+
+
+def test_the_whole_tree_is_not_cut_by_its_visits():
+    """One visit in millions still is a context of its own."""
+    # After 'ab' comes 'c' in millions of visits; once the byte is 'd'.
+    paths = np.array([0x626163, 0x626164], np.uint64)
+    sums = {"near": [], "node": [], "zeros": [], "ones": [], "below": []}
+    for top, *_ in ctw._subtree(paths, np.array([1 << 26, 1]), 2):
+        sums["near"] += (top["keys"] >> np.uint64(16)).astype(int).tolist()
+        sums["node"] += (top["keys"] & np.uint64(255)).astype(int).tolist()
+        for name, column in (("zeros", "zeros"), ("ones", "ones"), ("below", "weighted")):
+            sums[name] += top[column].tolist()
+    logs = ctw._log10(np.array([0x626162, *paths], np.uint64), np.array([0, 1 << 26, 1]), 2, ctw._mix_upper(pa.table(sums)))
+    assert np.isfinite(logs).all() and logs[1] > -1e-6 and -9 < logs[2] < -7
