@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rostra.operators.contexts import mention_contexts
 from rostra.operators.mentions import find_mentions
 from rostra.plans import figures, quality, replies
-from rostra.sources import lexicon, ordered
+from rostra.sources import lexicon, ordered, parts
 from rostra.sources.tables import Tables, write_colocated
 
 
@@ -123,3 +123,18 @@ def test_metrics_are_counted_while_writing(spark, tmp_path):
     resumed.write("silver_dim_mention_contexts", rows.limit(1))
     assert resumed.values["silver_dim_mention_contexts_rows"] == 1
     assert resumed.values["gold_top_stance_contexts_rows"] == 3 and resumed.metrics().count() == 57
+
+
+def test_replaced_parts_are_written_once(spark, tmp_path, monkeypatch):
+    """Rows that come from the replaced files go straight beside them, and not through another copy."""
+    rows = spark.createDataFrame([(str(i), i) for i in range(50)], "k string, v int")
+    table = parts.PartedTable(spark, str(tmp_path / "t"), rows.schema, ["k"], parts=4)
+    table.write(rows)
+    monkeypatch.setattr(parts, "materialize", None)
+    table.replace(table.read([0, 1]).where("v % 2 = 0"), [0, 1])
+    left = {r.k for r in table.read().collect()}
+    own = {r.k: r.part for r in rows.select("k", table.part().alias("part")).collect()}
+    assert left == {k for k in own if own[k] > 1 or int(k) % 2 == 0}
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    table.replace(table.read([2]).limit(0), [2])
+    assert {own[r.k] for r in table.read().collect()} == {0, 1, 3}
