@@ -6,8 +6,9 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures
-from checks.queries import before_last_batch, star_before, stored_by_document
-from rostra.plans import incremental
+from checks.queries import before_last_batch, star, star_before, stored, stored_by_document
+from rostra.operators.ranking import ranked_in_groups
+from rostra.plans import gold, incremental
 from rostra.sources.parts import PartedTable
 from rostra.sources.tables import materialize, release
 
@@ -75,3 +76,35 @@ def test_digests_are_stored_in_half_their_digits(spark, tmp_path):
     assert sum(f.stat().st_size for f in Path(kept._rostra_location).rglob("*.parquet")) < 20_000 * 64 * 0.75
     release(kept)
     assert made.read().count() == 20_000
+
+
+def plan_of(spark, rows):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        return rows()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_evidence_is_joined_once(spark, tmp_path):
+    s = stored(star(Fixtures(spark, write_given(spark, tmp_path))))
+    top = gold.top_stance_contexts(s.mentions, s.documents, s.dates, s.contexts, s.categories, s.audit)
+    assert top.count() > 0
+    # The texts of the audit are joined; the audit that decides what is evidence is not read again.
+    read = top.inputFiles()
+    assert not any(s.categories._rostra_location in f for f in read)
+    assert any(s.audit._rostra_location in f for f in read)
+
+
+def test_ranked_rows_are_moved_once(spark):
+    rows = spark.createDataFrame(
+        [(None if i % 5 == 0 else i % 3, float(i % 4), i % 2, f"d{i % 9}", i, "wide") for i in range(200)],
+        "g int, score double, q int, doc string, id int, wide string",
+    )
+    rankings = {"p": [("score", "desc"), ("q", "desc")], "n": [("score", "asc"), ("q", "desc")]}
+    plan = plan_of(spark, lambda: ranked_in_groups(rows, ["g"], ["doc", "id"], rankings, buckets=4))
+    # Once for the places; the others carry counts of cells.
+    assert plan.count("REPARTITION_BY_COL") == 1
+    top = plan[: plan.index("Window")]
+    assert "Exchange" not in top
