@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rostra.llm.common import BLOCK_CHARS, append_columns, blocks, schema_with
+from rostra.llm.common import BLOCK_CHARS, append_columns, blocks, kept, schema_with
 
 # Fixed value: Unicode white space, as the pattern's \s understands it.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -339,17 +339,6 @@ class ByteBpe:
         return known
 
 
-_workers: dict[str, ByteBpe] = {}
-
-
-def _codec(key: str, shared) -> ByteBpe:
-    """This worker's codec for a broadcast vocabulary."""
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = ByteBpe(*shared.value)
-    return _workers[key]
-
-
 def _map(
     rows: DataFrame,
     path: str,
@@ -370,8 +359,8 @@ def _map(
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(key, shared)
-        for block in blocks(batches, column) if new[0] != "decoded binary" else batches:
+        codec = kept(key, lambda: ByteBpe(*shared.value))
+        for block in blocks(batches, column, keeps=key) if new[0] != "decoded binary" else batches:
             yield append_columns(block, **work(codec, block))
 
     return rows.mapInArrow(run, schema_with(rows, *new))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +43,35 @@ def packed(rows: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{name.replace('`', '``')}`") for name in rows.columns])
 
 
+# What this Python worker keeps from one task to the next, by key: one thing at most.
+_kept: dict[str, Any] = {}
+
+
+def kept(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once for each worker and key; what was kept under another key goes."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget(but: str | None = None) -> None:
+    """Give back what this worker keeps under another key. Spark hands the same workers to all
+    operators in turn, so what one keeps would lie beside what the next one needs."""
+    if _kept and but not in _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def blocks(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_CHARS
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_CHARS, keeps: str | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose texts have about ``limit`` bytes together."""
+    """The same rows in slices whose texts have about ``limit`` bytes together.
+
+    ``keeps`` is the key of what the caller has ``kept``; anything else is given back.
+    """
+    forget(keeps)
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)

@@ -1,4 +1,5 @@
 import random
+import weakref
 from hashlib import sha256
 
 import public_tokenizers
@@ -8,7 +9,7 @@ import tiktoken
 from plain import ODD_TEXTS
 from pyspark.sql import functions as F
 
-from rostra.llm import bpe
+from rostra.llm import bpe, common
 from rostra.llm.queries import QUERIES
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -81,3 +82,20 @@ def test_blocks_cover_all_rows():
     parts = list(blocks([batch], "text", 6))
     assert [n for p in parts for n in p.column("n").to_pylist()] == [0, 1, 2, 3, 4]
     assert len(parts) == 3
+
+
+def test_a_worker_gives_back_what_another_operator_does_not_use():
+    made = []
+
+    def codec():
+        made.append(weakref.ref(bpe.ByteBpe(RANKS, PATTERN, True)))
+        return made[-1]()
+
+    batch = pa.RecordBatch.from_pydict({"text": ["abc", None]})
+    common.kept("own", lambda: bpe.ByteBpe(RANKS, PATTERN, True))
+    mine = weakref.ref(common.kept("own", codec))
+    assert not made
+    assert sum(b.num_rows for b in common.blocks([batch], "text", keeps="own")) == 2
+    assert mine() is not None and common.kept("own", codec) is mine()
+    assert sum(b.num_rows for b in common.blocks([batch], "text")) == 2
+    assert mine() is None
