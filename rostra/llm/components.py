@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.sources.tables import materialize, release
@@ -68,7 +68,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return small.unionByName(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
 
 
-def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_in_buckets(
+    members: DataFrame,
+    similar: Callable[[DataFrame], DataFrame],
+    rest: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``node`` and ``component`` of nodes that are similar to another of their bucket.
 
     ``members`` has distinct ``bucket`` and ``node`` with the ``size`` of the node;
@@ -78,9 +82,15 @@ def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFra
     one component or each member has led: every link between two components is found,
     though not every link inside of one. Between rounds a component is one group, so that
     later rounds only link groups.
+
+    ``rest`` may take the place of all rounds but the first. It gets ``head``, the leader of
+    the first round, ``node``, ``size`` and ``group``, distinct, of the other members of all buckets
+    that are not yet one group, and returns the pairs that may be similar: every link between
+    two groups whose members share a bucket must be among them.
     """
     key, leaders = F.xxhash64("node"), 1
     groups = None
+    led = [] if rest is None else [F.col("head").alias("past")]
     members = materialize(members.select("bucket", "node", "size", F.col("node").alias("group")))
     while True:
         heads = (
@@ -93,24 +103,17 @@ def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFra
             .select("bucket", "n", F.col("head.node").alias("head"))
         )
         leads = (F.col("node") == F.col("head")) | (F.pmod(key, F.col("n")) < leaders - 1)
-        open_ones = materialize(members.join(heads, "bucket").withColumn("leads", leads).drop("n", "head"))
+        last = rest is not None and groups is not None
+        gone = ["n"] if led and not last else ["n", "head"]
+        open_ones = materialize(members.join(heads, "bucket").withColumn("leads", leads).drop(*gone))
         release(members)
         if open_ones.isEmpty():
             release(open_ones)
             break
-        first = open_ones.where("leads").select(
-            "bucket", F.struct(key.alias("key"), "node", "size", "group").alias("of"), F.col("group").alias("of_group")
-        )
-        pairs = (
-            open_ones.withColumn("own", F.struct(key.alias("key"), "node", "size", "group"))
-            .join(first, "bucket")
-            .where(F.col("group") != F.col("of_group"))
-            # The first leader has the least key of its bucket, so it is ``b``.
-            .select(F.greatest("own", "of").alias("a"), F.least("own", "of").alias("b"))
-            .distinct()
-            .select("a.node", "b.node", "a.size", "b.size", "a.group", "b.group")
-            .toDF("a", "b", "a_size", "b_size", "a_group", "b_group")
-        )
+        if last:
+            pairs = rest(open_ones.select(F.col("past").alias("head"), "node", "size", "group").distinct())
+        else:
+            pairs = _pairs_of_leaders(open_ones, key)
         found = similar(pairs).select(F.col("a_group").alias("a"), F.col("b_group").alias("b"))
         merged = connected_components(found).withColumnsRenamed({"node": "group", "component": "into"})
         before, groups = groups, materialize(
@@ -118,10 +121,13 @@ def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFra
         )
         if before is not None:
             release(before)
+        if last:
+            release(open_ones)
+            break
         members = materialize(
             open_ones.where(~F.col("leads"))
             .join(merged, "group", "left")
-            .select("bucket", "node", "size", F.coalesce("into", "group").alias("group"))
+            .select("bucket", "node", "size", F.coalesce("into", "group").alias("group"), *led)
         )
         release(open_ones)
         leaders *= MORE_LEADERS
@@ -130,6 +136,23 @@ def linked_in_buckets(members: DataFrame, similar: Callable[[DataFrame], DataFra
     return groups
 
 
+def _pairs_of_leaders(open_ones: DataFrame, key: Column) -> DataFrame:
+    """Each member with the leaders of its bucket that are in another group."""
+    first = open_ones.where("leads").select(
+        "bucket", F.struct(key.alias("key"), "node", "size", "group").alias("of"), F.col("group").alias("of_group")
+    )
+    return (
+        open_ones.withColumn("own", F.struct(key.alias("key"), "node", "size", "group"))
+        .join(first, "bucket")
+        .where(F.col("group") != F.col("of_group"))
+        # The first leader has the least key of its bucket, so it is ``b``.
+        .select(F.greatest("own", "of").alias("a"), F.least("own", "of").alias("b"))
+        .distinct()
+        .select("a.node", "b.node", "a.size", "b.size", "a.group", "b.group")
+        .toDF("a", "b", "a_size", "b_size", "a_group", "b_group")
+    )
+
+
 def _merged(groups: DataFrame, merged: DataFrame) -> DataFrame:
     """Groups of nodes after some groups went into others."""
     moved = groups.join(merged.withColumnRenamed("group", "component"), "component", "left")

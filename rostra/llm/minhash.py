@@ -5,16 +5,18 @@ and the least of each bin is the signature of the text; an empty bin takes the v
 the first full one in an order of its own, which is drawn at random and the same for all
 texts (optimal densification). Bands of the signature are buckets. In a bucket every text
 is linked with one centre, so candidate edges are stars: as many as the bucket has texts.
-Each edge is confirmed on the full sets of shingles. Texts of a bucket that are not yet
-linked get further centres, until all are one group or each has been a centre, so that
-two similar texts that share a bucket are linked whatever the centres are.
+Each edge is confirmed on the full sets of shingles. Texts of a bucket that the centre did
+not make one group may still be similar to each other. Then the shingles in which each
+differs from the centre are mostly the same, and the rarest of them are shared: pairs are
+made by these shingles, not by the bucket (see ``_pairs_by_differences``). So two similar texts
+that share a bucket are linked whatever the centre is.
 
 Two texts at the least similarity share no bucket with a probability of about 1e-10.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -143,12 +145,17 @@ def _buckets(one: DataFrame) -> DataFrame:
     return items.join(shared.select("bucket"), "bucket", "left_semi")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    sized = pairs.where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * similarity)
+def _with_sets(
+    pairs: DataFrame,
+    texts: DataFrame,
+    shingle: int,
+    schema: str,
+    look: Callable[[pa.RecordBatch, Iterator[tuple[np.ndarray, np.ndarray]]], pa.RecordBatch],
+) -> DataFrame:
+    """What ``look`` makes of blocks of the pairs ``a``, ``b`` and the two sets of each."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    both = sized.join(a, "a").join(b, "b").select(*pairs.columns, "a_text", "b_text")
+    both = pairs.join(a, "a").join(b, "b").select(*pairs.columns, "a_text", "b_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(shingle)
@@ -169,14 +176,98 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int
             for block in blocks([batch], "a_text"):
                 nodes = zip(block.column("a").to_pylist(), block.column("b").to_pylist())
                 given = zip(block.column("a_text").to_pylist(), block.column("b_text").to_pylist())
-                near = []
-                for (x, y), (x_text, y_text) in zip(nodes, given):
-                    first, second = set_of(x, x_text), set_of(y, y_text)
-                    shared = len(first) + len(second) - len(np.union1d(first, second))
-                    near.append(100 * shared >= similarity * (len(first) + len(second) - shared))
-                yield block.drop_columns(["a_text", "b_text"]).filter(pa.array(near, pa.bool_()))
+                sets = ((set_of(x, x_text), set_of(y, y_text)) for (x, y), (x_text, y_text) in zip(nodes, given))
+                yield look(block.drop_columns(["a_text", "b_text"]), sets)
+
+    return both.mapInArrow(run, schema)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    sized = pairs.where(F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * similarity)
+
+    def look(block: pa.RecordBatch, sets: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        near = []
+        for first, second in sets:
+            shared = len(first) + len(second) - len(np.union1d(first, second))
+            near.append(100 * shared >= similarity * (len(first) + len(second) - shared))
+        return block.filter(pa.array(near, pa.bool_()))
+
+    return _with_sets(sized, texts, shingle, schema_with(sized), look)
 
-    return both.mapInArrow(run, schema_with(pairs))
+
+def _differences(members: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Members with the shingles that they or their head have alone, and how many of these can be the first in common.
+
+    Similar sets of m shingles together differ in at most m (100 - similarity) / (100 + similarity).
+    Of two members in different groups one is not similar to the head. Where it differs from the head
+    in n shingles, any similar set does so in n - ``most`` at least and shares these. A member
+    that is similar to the head shares (n + 1) / 2 with any such one, less half of what its size and
+    that of the head differ. Whatever order the shingles have, the first one that two sets share
+    has as many after it as they share besides.
+    """
+
+    def look(block: pa.RecordBatch, sets: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        differing, leading = [], []
+        for own, head in sets:
+            apart = np.setxor1d(own, head, assume_unique=True)
+            n, both = len(apart), len(own) + len(head)
+            if 100 * (both - n) >= similarity * (both + n):
+                shared = -(-(n + 1 - abs(len(own) - len(head))) // 2)
+            else:
+                most = (len(own) + 100 * len(own) // similarity) * (100 - similarity) // (100 + similarity)
+                shared = n - most
+            differing.append(apart.view(np.int64))
+            leading.append(n - max(1, shared) + 1)
+        return append_columns(
+            block, leading=pa.array(leading, pa.int32()), differing=pa.array(differing, pa.list_(pa.int64()))
+        )
+
+    pairs = members.withColumnsRenamed({"node": "a", "head": "b"})
+    schema = schema_with(pairs, "leading int, differing array<long>")
+    return _with_sets(pairs, texts, shingle, schema, look).withColumnsRenamed({"a": "node", "b": "head"})
+
+
+def _pairs_by_differences(members: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of members of one head, in different groups, that may be similar.
+
+    ``members`` are ``_differences``. Shingles that one group has alone come first, as they make no pair,
+    then the rarest; only the leading ones of each member meet. A pair is left out where the
+    first shingle that it shares leaves too few after it.
+    """
+    far = members.withColumn("n", F.size("differing"))
+    each = far.withColumn("shingle", F.explode("differing")).drop("differing")
+    meeting = (
+        each.groupBy("head", "shingle")
+        .agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("many"))
+        .where("low < high")
+        .select("head", "shingle", "many")
+    )
+    # Those that one group has alone are only counted.
+    ranked = (
+        each.join(meeting, ["head", "shingle"])
+        .groupBy("head", "node", "size", "group", "n", "leading")
+        .agg(F.sort_array(F.collect_list(F.struct("many", "shingle"))).alias("met"))
+        .withColumn("alone", F.col("n") - F.size("met"))
+        .withColumn("met", F.slice("met", 1, F.greatest(F.col("leading") - F.col("alone"), F.lit(0))))
+        .select("head", "node", "size", "group", "n", "alone", F.posexplode("met").alias("at", "first"))
+        # This one and those of the member that come after it.
+        .withColumn("left", F.col("n") - F.col("alone") - F.col("at"))
+        .select("head", "first.shingle", "node", "size", "group", "n", "left")
+    )
+    of = ranked.withColumnsRenamed({c: f"of_{c}" for c in ("node", "size", "group", "n", "left")})
+    both = F.col("size") + F.col("of_size")
+    shared_twice = F.col("n") + F.col("of_n") - both + 2 * F.ceil(similarity * both / (100 + similarity))
+    return (
+        ranked.join(of, ["head", "shingle"])
+        .where(F.col("group") != F.col("of_group"))
+        .where(F.col("node") > F.col("of_node"))
+        .where(F.least("size", "of_size") * 100 >= F.greatest("size", "of_size") * similarity)
+        .where(shared_twice <= 2 * F.least("left", "of_left"))
+        .select("node", "of_node", "size", "of_size", "group", "of_group")
+        .toDF("a", "b", "a_size", "b_size", "a_group", "b_group")
+        .distinct()
+    )
 
 
 def near_duplicates(
@@ -216,11 +307,17 @@ def near_duplicates(
     at = F.col("doc_id").eqNullSafe(F.col("place_id")) & (F.col("own") == F.col("content"))
     # A row that is given twice is found twice.
     texts = materialize(own.join(places, at).select("node", "text").dropDuplicates(["node"]))
-    groups = linked_in_buckets(members, lambda pairs: _confirmed(pairs, texts, shingle, similarity))
+    differing: list[DataFrame] = []
+
+    def rest(left: DataFrame) -> DataFrame:
+        differing.append(materialize(_differences(left, texts, shingle, similarity)))
+        return _pairs_by_differences(differing[0], similarity)
+
+    groups = linked_in_buckets(members, lambda pairs: _confirmed(pairs, texts, shingle, similarity), rest)
     grouped = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
     decided = materialize(grouped.join(least, "group").select("high", "low", "component_id"))
-    release(members, texts)
+    release(members, texts, *differing)
     found = wordy.select("doc_id", "size", "high", "low").join(decided, ["high", "low"])
     alone = marked.where("size = 0").select("doc_id", "size", F.col("doc_id").alias("component_id"))
     return (

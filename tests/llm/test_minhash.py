@@ -69,6 +69,27 @@ def test_chains_that_no_centre_covers(spark):
     assert set(held(spark, docs).values()) == {0}
 
 
+def test_near_copies_that_the_centre_does_not_reach(spark, monkeypatch):
+    """Most texts of a group are too far from each other: few pairs are made, and no link is lost."""
+    pick = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    far = [edited(pick, base, pick.randrange(4, 16)) for _ in range(300)]
+    # Some are the centre's, and some are alike only among themselves.
+    texts = [edited(pick, base, pick.randrange(3)) for _ in range(60)] + far
+    texts += [edited(pick, pick.choice(far), pick.randrange(1, 5)) for _ in range(40)]
+    compared = []
+
+    def confirmed(pairs, *how):
+        compared.append(pairs.count())
+        return plain_confirmed(pairs, *how)
+
+    plain_confirmed = minhash._confirmed
+    monkeypatch.setattr(minhash, "_confirmed", confirmed)
+    component = held(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    assert len(set(component.values())) > 50
+    assert sum(compared) < 20 * len(texts)
+
+
 def test_ids(spark):
     text = "one two three four five six"
     rows = [(5, text), (5, text), (None, text), (3, text + " "), (None, "alone here now"), (None, "alone here now"), (9, None), (9, None)]
