@@ -66,6 +66,41 @@ def test_repeated_keys_of_a_source_fail_and_change_nothing(spark, tmp_path):
     assert sorted(map(tuple, made.read().collect())) == [("a", 1), ("b", 2)]
 
 
+def test_an_upsert_shuffles_rows_once(spark, tmp_path, monkeypatch):
+    made = table(spark, tmp_path, rows_of(spark, [(f"k{i}", i) for i in range(50)]))
+    exchanges = []
+
+    def replaced(self, rows, parts, placed=False):
+        plan = rows if placed else self._placed(rows)
+        exchanges.append(plan._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(PartedTable, "replace", replaced)
+        made.upsert(rows_of(spark, [(f"k{i}", -i) for i in range(0, 90, 3)]))
+    assert exchanges == [1]
+
+
+@pytest.mark.parametrize("task_bytes", [1, 10**9])
+def test_upsert_of_null_keys_and_of_two_columns(spark, tmp_path, monkeypatch, task_bytes):
+    """Null keys match nothing, with one task for a part and with many."""
+    monkeypatch.setattr("rostra.sources.parts._TASK_BYTES", task_bytes)
+    old = [*[(f"k{i}", i) for i in range(60)], (None, 1), (None, 1), (None, 2)]
+    made = table(spark, tmp_path / "one", rows_of(spark, old))
+    made.upsert(rows_of(spark, [(None, 3), ("k1", -1), ("k2", None), ("x", 7)]))
+    want = {(f"k{i}", i) for i in range(60)} - {("k1", 1), ("k2", 2)} | {("k1", -1), ("k2", None), ("x", 7)}
+    got = [tuple(r) for r in made.read().collect()]
+    assert sorted(got, key=str) == sorted([*want, (None, 1), (None, 1), (None, 2), (None, 3)], key=str)
+    with pytest.raises(Exception, match="more than one source row"):
+        made.upsert(rows_of(spark, [("k5", 5), ("k5", 6)]))
+
+    wide = "a string, b long, v array<string>"
+    old = [("p", 1, ["o"]), ("p", 2, ["o"]), ("p", None, ["o"]), (None, 1, ["o"]), ("q", 1, None)]
+    made = table(spark, tmp_path / "two", spark.createDataFrame(old, wide), ("a", "b"))
+    made.upsert(spark.createDataFrame([("p", 1, ["n"]), ("p", None, ["n"]), (None, 1, ["n"]), ("r", 1, ["n"])], wide))
+    got = sorted(((r.a, r.b, r.v) for r in made.read().collect()), key=str)
+    assert got == sorted([*old[1:], ("p", 1, ["n"]), ("p", None, ["n"]), (None, 1, ["n"]), ("r", 1, ["n"])], key=str)
+
+
 def test_update_of_matched_rows(spark, tmp_path):
     made = table(spark, tmp_path, rows_of(spark, [(f"k{i}", i) for i in range(40)]))
     before = files_of(made.path)
