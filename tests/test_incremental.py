@@ -110,6 +110,47 @@ def test_update_of_matched_rows(spark, tmp_path):
     assert all(files_of(made.path).get(f) == t for f, t in before.items() if part_of(f) not in parts)
 
 
+def exchanges_of(monkeypatch, run):
+    """Shuffles of the rows that replace parts."""
+    found = []
+
+    def replaced(self, rows, parts, placed=False):
+        plan = rows if placed or "part" in rows.columns else self._placed(rows)
+        found.append(plan._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(PartedTable, "replace", replaced)
+        run()
+    return found
+
+
+def test_an_update_shuffles_rows_once_and_null_keys_match_nothing(spark, tmp_path, monkeypatch):
+    old = [*[(f"k{i}", i) for i in range(50)], (None, 1), (None, 2)]
+    made = table(spark, tmp_path, rows_of(spark, old))
+    source = spark.createDataFrame([("k3", None), ("k4", 40), (None, 9), ("none", 1)], "k string, w long")
+    assert exchanges_of(monkeypatch, lambda: made.update(source, {"v": F.col("w")})) == [1]
+    made.update(source, {"v": F.col("w")})
+    got = [tuple(r) for r in made.read().collect()]
+    assert sorted(got, key=str) == sorted([*[r for r in old if r[0] not in ("k3", "k4")], ("k3", None), ("k4", 40)], key=str)
+    with pytest.raises(Exception, match="more than one source row"):
+        made.update(spark.createDataFrame([("k1", 5), ("k1", 6)], "k string, w long"), {"v": F.col("w")})
+
+
+@pytest.mark.parametrize("task_bytes", [1, 10**9])
+def test_many_groups_are_exchanged_in_one_shuffle(spark, tmp_path, monkeypatch, task_bytes):
+    monkeypatch.setattr("rostra.sources.parts._TASK_BYTES", task_bytes)
+    old = [*[(f"k{i}", n) for i in range(50) for n in (0, 1)], (None, 1)]
+    made = table(spark, tmp_path, rows_of(spark, old))
+    touched = rows_of(spark, [("k1", 0), ("k2", 0), ("new", 0), (None, 0)]).select(key_hash("k").alias("key"))
+    # k2 vanishes; k9 is not touched, and what is said of it is left out.
+    rows = rows_of(spark, [("k1", 7), ("new", 8), ("new", 9), (None, 3), (None, 4), ("k9", 99)])
+    assert exchanges_of(monkeypatch, lambda: made.replace_groups(touched, rows, many=True)) == [1]
+    made.replace_groups(touched, rows, many=True)
+    got = [tuple(r) for r in made.read().collect()]
+    kept = [r for r in old if r[0] not in ("k1", "k2", None)]
+    assert sorted(got, key=str) == sorted([*kept, ("k1", 7), ("new", 8), ("new", 9), (None, 3), (None, 4)], key=str)
+
+
 def test_groups_that_vanish(spark, tmp_path):
     made = table(spark, tmp_path, rows_of(spark, [("a", 1), ("b", 2)]))
     gone = rows_of(spark, [("a", 0)]).select(key_hash("k").alias("key"))

@@ -1,12 +1,13 @@
 """How the star that gold is refreshed from is stored."""
 
 import datetime
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures
-from checks.queries import before_last_batch, star, star_before, stored, stored_by_document
+from checks.queries import _audit_with_later_rows, _mentions_dealt, before_last_batch, star, star_before, stored, stored_by_document
 from rostra.operators.ranking import ranked_in_groups
 from rostra.plans import gold, incremental
 from rostra.sources.parts import PartedTable
@@ -108,3 +109,63 @@ def test_ranked_rows_are_moved_once(spark):
     assert plan.count("REPARTITION_BY_COL") == 1
     top = plan[: plan.index("Window")]
     assert "Exchange" not in top
+
+
+def test_mentions_contexts_and_audit_are_made_of_the_lines_of_a_document(spark, tmp_path):
+    after = stored_by_document(Fixtures(spark, write_given(spark, tmp_path)))
+    lines = set(after.contexts.inputFiles())
+    assert lines and set(after.audit.inputFiles()) == lines and lines < set(after.mentions.inputFiles())
+
+
+def test_what_lies_by_document_is_aggregated_and_expanded_where_it_lies(spark, tmp_path):
+    after = stored_by_document(Fixtures(spark, write_given(spark, tmp_path)))
+    periods = gold.figure_mentions_by_period(after.mentions, after.dates, after.categories)
+    tables = incremental.GoldTables(spark, str(tmp_path / "gold"), colocated=True)
+    for rows in (periods, tables._plan("stance_by_creator", after)):
+        assert rows.count() > 0
+        plan = re.sub(r"#\d+L?", "", rows._jdf.queryExecution().executedPlan().toString())
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        assert dealt and not any("document_id" in keys or "member" in keys for keys in dealt)
+
+
+def test_documents_and_variants_of_a_period_are_distinct(spark):
+    mentions = spark.createDataFrame(
+        [("a", "v", 1), ("a", "w", 2), ("b", "v", 3), ("b", None, 4), (None, "x", 5), (None, "x", 6)],
+        "document_id string, variant_id string, mention_id int",
+    ).selectExpr(
+        "*", "'k' AS date_key", "'f' AS figure_id", "'F' AS canonical_name", "'high' AS match_confidence",
+        "true AS is_high_confidence_match", "mention_id < 3 AS is_analysis_ready", "'c' AS stance_category_id",
+        "cast(0.5 AS double) AS stance_score",
+    )
+    dates = spark.sql(
+        "SELECT 'k' AS date_key, '1790' AS period_label, 1790 AS publication_year, cast(NULL AS int) AS publication_month, "
+        "cast(NULL AS int) AS publication_day, cast(NULL AS date) AS publication_date, 'year' AS date_precision, "
+        "'gregorian' AS date_calendar"
+    )
+    categories = spark.sql(
+        "SELECT 'c' AS stance_category_id, 'positive' AS stance_label, 'weak' AS stance_intensity, "
+        "'high' AS stance_confidence, 'direct' AS target_relevance"
+    )
+    (row,) = gold.figure_mentions_by_period(mentions, dates, categories).collect()
+    assert (row.mention_count, row.document_count, row.matched_variant_count) == (6, 2, 3)
+    assert (row.analysis_ready_mention_count, row.analysis_ready_document_count) == (2, 1)
+
+
+def test_mentions_and_audit_of_the_upserts_are_derived_once(spark, tmp_path):
+    fx = Fixtures(spark, write_given(spark, tmp_path))
+    later = fx.m_audit.where("evidence_text IS NULL").withColumns(
+        {
+            "stance_audit_id": F.concat("stance_audit_id", F.lit("-b")),
+            "stance_category_id": F.lit("gone"),
+            "ship_date": F.date_add("ship_date", 1),
+        }
+    )
+    want, got = fx.m_audit.unionByName(later).withColumnRenamed("ship_date", "stance_scored_at"), _audit_with_later_rows(fx)
+    assert got.columns == want.columns and later.count() > 0
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+    assert plan_of(spark, lambda: got).count("Scan parquet") == 2
+    dealt = _mentions_dealt(fx)
+    assert fx.m_mentions.exceptAll(dealt).isEmpty() and dealt.exceptAll(fx.m_mentions).isEmpty()
+    # Digests of a line are made after the shuffle to its document.
+    plan = plan_of(spark, lambda: dealt)
+    assert plan.index("sha2(") < plan.index("REPARTITION_BY_NUM") and "sha2(" not in plan[plan.index("REPARTITION_BY_NUM"):plan.index("FileScan")]
