@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import Fixtures
 from checks.queries import _audit_with_later_rows, _mentions_dealt, before_last_batch, star, star_before, stored, stored_by_document
+from rostra.functions.common import packed_digest, unpacked_digest
 from rostra.operators.ranking import ranked_in_groups
 from rostra.plans import gold, incremental
 from rostra.sources.parts import PartedTable
@@ -169,3 +170,28 @@ def test_mentions_and_audit_of_the_upserts_are_derived_once(spark, tmp_path):
     # Digests of a line are made after the shuffle to its document.
     plan = plan_of(spark, lambda: dealt)
     assert plan.index("sha2(") < plan.index("REPARTITION_BY_NUM") and "sha2(" not in plan[plan.index("REPARTITION_BY_NUM"):plan.index("FileScan")]
+
+
+def test_digests_are_packed_and_other_ids_are_left(spark):
+    hexes = "ab01" * 16
+    ids = [hexes, hexes.upper(), hexes[:-1], hexes + "-b", "é" * 32, "g" * 64, "", "\x01", "gone", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ids)], "i int, t string").repartition(2)
+    packed = rows.withColumn("p", packed_digest(F.col("t")))
+    found = packed.select("i", "t", F.length("p").alias("n"), unpacked_digest(F.col("p")).alias("back")).collect()
+    assert all(r.back == r.t for r in found) and len(found) == len(ids)
+    assert {r.n for r in found if r.i == 0} == {33} and packed.select("p").distinct().count() == len(ids)
+
+
+def test_documents_meet_the_evidence_where_both_lie(spark, tmp_path):
+    s = stored_by_document(Fixtures(spark, write_given(spark, tmp_path)))
+    top = gold.top_stance_contexts(s.mentions, s.documents, s.dates, s.contexts, s.categories, s.audit)
+    assert top.count() > 0
+    plan = re.sub(r"#\d+L?", "", plan_of(spark, lambda: top))
+    assert not any(keys.startswith("document_id") for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan))
+    # A document that is listed twice shows its passages twice, and counts them once.
+    twice = gold.top_stance_contexts(
+        s.mentions, s.documents.unionByName(s.documents), s.dates, s.contexts, s.categories, s.audit
+    )
+    rank = "absolute_stance_rank_by_figure_period"
+    assert twice.agg(F.max(rank)).first() == top.agg(F.max(rank)).first()
+    assert twice.count() == top.count() + top.where("metadata_parse_status IS NOT NULL").count()
